@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.base import LOADED, cents, derived, lenient, strict, strict_rate
+from oracle.base import LOADED, derived, lenient, strict, strict_rate
 
 SALES = "sale_id, transaction_id, sale_date, store_id, customer_id, employee_id, product_id"
 SALE_PRICES = "quantity, unit_price, discount_amount, sale_amount, payment_method, sales_channel"
@@ -72,7 +72,7 @@ def marts() -> dict[str, str]:
     }
 
 
-GOLD_POLICY = "select * from gold_policy"
+GOLD_POLICY = "select * exclude (store_type) from gold_policy"
 
 
 def analysis() -> dict[str, str]:
@@ -184,5 +184,135 @@ def reports() -> dict[str, str]:
     }
 
 
+# Checking name of each model.
+MODEL_TABLES = {
+    **{f"stg_{t}": t for t in ("sales", "returns", "products", "stores", "customers", "employees")},
+    "raw_sales": "sales",
+    "raw_returns": "returns",
+    "int_sales_enriched": "sold",
+    "int_returns_enriched": "back_wide",
+    "int_sales_returns_joined": "joined_rows",
+    "mart_daily_sales_returns_summary": "mart_daily",
+    "mart_return_rate_by_product": "mart_product",
+    "mart_return_rate_by_store": "mart_store",
+    "mart_return_reason_summary": "mart_reason",
+    "mart_return_policy_exceptions": "mart_exceptions",
+    "mart_employee_return_activity": "mart_employee",
+}
+JOINED_ROWS = """, joined_rows as (
+    select sale_id, n > 0 as returned_flag, n as return_count, qty / quantity as unit_return_rate from matched
+)"""
+
+
+def check(rule: str, model: str, column: str, rows: str, violations: str, source: str) -> str:
+    return (
+        f"select '{rule}' as rule, '{model}' as table_name, '{column}' as column_name, "
+        f"cast({rows} as bigint) as rows_checked, cast({violations} as bigint) as violations from {source}"
+    )
+
+
+def quality() -> dict[str, str]:
+    from tillback.plans.checks import ACCEPTED, NOT_EMPTY, NOT_NULL, PARENTS, UNIQUE
+    from tillback.domains import PRIMARY_KEYS, TABLES
+
+    def unique_check(model: str, column: str, table: str) -> str:
+        counted = f"(select {column} as v, count(*) as n from {table} group by 1)"
+        return check("unique", model, column, "sum(n)", "count(*) filter (n > 1 and v is not null)", counted)
+
+    def parent_check(model: str, column: str, table: str, parent: str, key: str) -> str:
+        orphan = f"{column} is not null and {column} not in (select {key} from {parent} where {key} is not null)"
+        return check("relationships", model, column, "count(*)", f"count(*) filter ({orphan})", table)
+
+    def joined(parts) -> str:
+        return strict(JOINED_ROWS + "\n" + " union all ".join(parts))
+
+    def quoted(values) -> str:
+        return ", ".join(f"'{value}'" for value in values)
+
+    found = {
+        "quality_not_null": joined(
+            check("not_null", model, column, "count(*)", f"count(*) filter ({column} is null)", MODEL_TABLES[model])
+            for model, names in NOT_NULL.items() for column in names.split()),
+        "quality_unique": joined(unique_check(m, c, MODEL_TABLES[m]) for m, c in UNIQUE.items()),
+        "quality_accepted_values": joined(
+            check("accepted_values", model, column, "count(*)",
+                  f"count(*) filter ({column} not in ({quoted(values)}))", MODEL_TABLES[model])
+            for model, rules in ACCEPTED.items() for column, values in rules.items()),
+        "quality_relationships": joined(
+            parent_check(model, column, MODEL_TABLES[model], parent, PRIMARY_KEYS[parent])
+            for model, parents in PARENTS.items() for column, parent in parents.items()),
+        "quality_not_empty": joined(
+            check("not_empty", model, "*", "count(*)", "case when count(*) = 0 then 1 else 0 end", MODEL_TABLES[model])
+            for model in NOT_EMPTY),
+        "quality_unique_transactions": derived(unique_check("stg_sales", "transaction_id", "sales")),
+        "quality_fk_subset": derived(parent_check("returns", "sale_id", "returns", "sales", "sale_id")),
+        "quality_row_counts": derived(" union all ".join(
+            f"select 'silver_{t}' as table_name, count(*) as row_count from {t}" for t in TABLES)),
+        "union_all_counts": derived(" union all ".join(
+            f"select '{t.upper()}_RAW' as table_name, count(*) as row_count from {t}" for t in TABLES)),
+        "quality_exact_columns": derived(" union all ".join(
+            f"select '{t}' as table_name, true as columns_match, count(*) as row_count from {t}" for t in TABLES)),
+        "quality_missing_primary_keys": derived(" union all ".join(
+            check("missing_primary_key", f"silver_{t}", k, "count(*)", f"count(*) filter ({k} is null)", t)
+            for t, k in PRIMARY_KEYS.items())),
+        "quality_negative_amounts": derived(" union all ".join(
+            check("negative_amount", f"silver_{t}", a, "count(*)", f"count(*) filter ({a} < 0)", t)
+            for t, a in (("sales", "sale_amount"), ("returns", "return_amount")))),
+        "quality_returns_before_sale": strict(check(
+            "returns_before_sale", "silver_returns", "return_date", "count(*)",
+            "count(*) filter (return_date < sale_date)", "back")),
+        "quality_return_date_ge_sale_date": strict(check(
+            "return_date_ge_sale_date", "returns", "return_date", "count(*)",
+            "count(*) filter (not coalesce(return_date >= sale_date, false))", "back")),
+    }
+    return found
+
+
+def operators() -> dict[str, str]:
+    days = """select coalesce(s.day, r.day) as day, coalesce(s.sold, 0) as sold, coalesce(r.back, 0) as back
+        from (select sale_date as day, count(*) as sold from sales group by 1) s
+        full join (select return_date as day, count(*) as back from returns group by 1) r on r.day = s.day"""
+    handled = """handled_by as (
+        select e.employee_id, e.store_id, count(r.return_id) as handled
+        from employees e left join returns r on r.employee_id = e.employee_id group by all
+    )"""
+    return {
+        "full_join_using": derived(days),
+        "spine_left_joins": derived(days),
+        "union_distinct": derived("select sale_date as calendar_date from sales union select return_date from returns"),
+        "scalar_threshold": derived(
+            "select *, handled > (select avg(handled) from handled_by) as above_average from handled_by", handled),
+        "row_number_top1": derived("""
+            select product_id, return_reason, count(*) as reason_return_count from returns
+            group by product_id, return_reason qualify row_number() over (
+                partition by product_id order by count(*) desc, sum(return_amount) desc, return_reason) = 1"""),
+        "share_of_total": derived(f"""
+            select store_id, count(*) as returns, {strict_rate("count(*)", "(select count(*) from returns)")} as share
+            from returns group by store_id"""),
+        "normalize_within_group": derived("""
+            select *, cast(handled as double) / nullif(sum(handled) over (partition by store_id), 0) as share
+            from handled_by""", handled),
+        "quantile_threshold": derived("""
+            select 'selection' as limit_name, cast(greatest(150, quantile_cont(cast(sale_amount as double), 0.90))
+                as decimal(20,6)) as value from sales
+            union all
+            select 'event', cast(greatest(200, quantile_cont(cast(return_amount as double), 0.92))
+                as decimal(20,6)) from returns"""),
+        "members_by_group": derived("""
+            select store_id, count(*) as members, cast(0 as bigint) as first_no, count(*) - 1 as last_no,
+                count(*) as numbers, count(*) as member_count, min(employee_id) as first_employee
+            from employees group by store_id"""),
+        "temp_view_query": strict("""
+            select store_region, count(*) as stores, cast(sum(total_returns) as bigint) as total_returns
+            from mart_store group by 1"""),
+        "copy_into_incremental": derived("select *, true as load_metadata_present from returns"),
+        "list_stage": """
+            select distinct table_name || '.parquet' as file_name, true as has_content
+            from information_schema.tables where table_name in ('region', 'nation', 'customer', 'supplier', 'part',
+                'orders', 'lineitem', 'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels',
+                'conversations')""",
+    }
+
+
 def statements() -> dict[str, str]:
-    return {**layers(), **marts(), **analysis(), **reports()}
+    return {**layers(), **marts(), **analysis(), **reports(), **quality(), **operators()}

@@ -12,8 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def attach(facts: DataFrame, lookup: DataFrame, key: str, attributes: dict[str, str]) -> DataFrame:
-    """Left join of ``lookup`` columns (output name -> lookup column) on one key.
+def attach(
+    facts: DataFrame, lookup: DataFrame, key: str, attributes: dict[str, str], on: str | None = None
+) -> DataFrame:
+    """Left join of ``lookup`` columns (output name -> lookup column) on its ``key``.
+
+    ``on`` names the fact column when it is called differently.
 
     Rows without a match keep nulls, and a key repeated in ``lookup`` repeats the fact row.
     """
@@ -21,7 +25,7 @@ def attach(facts: DataFrame, lookup: DataFrame, key: str, attributes: dict[str,
         F.col(key).alias("_lookup_key"),
         *[F.col(source).alias(name) for name, source in attributes.items()],
     )
-    joined = facts.join(picked, facts[key] == picked["_lookup_key"], "left")
+    joined = facts.join(picked, facts[on or key] == picked["_lookup_key"], "left")
     return joined.drop("_lookup_key")
 
 

@@ -60,7 +60,7 @@ def explode_counts(df: DataFrame, column: str, item: str, count: str, separator:
 
 def split_tokens(df: DataFrame, column: str, item: str, separator: str = ",") -> DataFrame:
     """Sorted distinct tokens of a separated list column, without blanks."""
-    parts = F.transform(F.split(column, separator), F.trim)
+    parts = F.transform(F.split(column, separator), lambda part: F.trim(part))
     tokens = df.select(column).distinct().select(F.explode(parts).alias(item))
     return tokens.filter(F.col(item) != "").distinct().orderBy(item)
 

@@ -110,7 +110,7 @@ GOLD_CONTEXT = [
         name: name for name in ("product_name", "product_category", "product_subcategory", "brand")
     }),
     ("stores", "store_id", {
-        name: name for name in ("store_name", "city", "province", "region", "store_type")
+        name: name for name in ("store_name", "city", "province", "region")
     }),
     ("employees", "employee_id", {"employee_role": "role", "employee_active_flag": "active_flag"}),
 ]

@@ -9,9 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tillback.domains import DIMENSIONS, TABLES
-from tillback.plans import analysis, gold, marts, reports
+from pyspark.sql import functions as F
+
+from tillback.domains import TABLES, columns
+from tillback.operators.joins import attach, full_merge
+from tillback.operators.quality import row_counts, unique
+from tillback.operators.ranking import exact_quantile, number_members, top_one
+from tillback.operators.shares import grand_total, read_twice, share_within
+from tillback.plans import analysis, checks, gold, marts, reports
 from tillback.plans.intermediate import (
     int_returns_enriched, int_sales_enriched, int_sales_returns_joined, return_flags, return_timing,
     sale_measures,
@@ -19,6 +24,10 @@ from tillback.plans.intermediate import (
 from tillback.plans.silver import Silver
 from tillback.plans.staging import Staged
 from tillback.sources.adapter import RetailTables
+from tillback.sources.landing import copy_into, list_stage, write_csv
+from tillback.sources.scratch import shared_folder
+from tillback.sources.tables import publish_views
+from tillback.streaming.incremental import copy_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,12 +48,18 @@ class Lanes:
     def back(self) -> DataFrame:
         return return_flags(self.staged["returns"])
 
+    def sold_wide(self) -> DataFrame:
+        return int_sales_enriched(self.staged["sales"], self.staged)
+
     def back_dated(self) -> DataFrame:
         return return_timing(self.back(), self.staged["sales"])
 
     def back_wide(self) -> DataFrame:
         return int_returns_enriched(self.staged["returns"], self.staged["sales"], self.staged)
 
+    def sales_with_returns(self) -> DataFrame:
+        return int_sales_returns_joined(self.sold(), self.back_dated(), self.staged)
+
     def mart_daily(self) -> DataFrame:
         return marts.daily_sales_returns_summary(self.sold(), self.back())
 
@@ -96,11 +111,9 @@ def _layers() -> dict[str, Callable[[Lanes], DataFrame]]:
     for table in TABLES:
         found[f"stg_{table}"] = lambda lanes, table=table: lanes.staged[table]
         found[f"silver_{table}"] = lambda lanes, table=table: lanes.silver[table]
-    found["int_sales_enriched"] = lambda lanes: int_sales_enriched(lanes.staged["sales"], lanes.staged)
-    found["int_returns_enriched"] = lambda lanes: lanes.back_wide()
-    found["int_sales_returns_joined"] = lambda lanes: int_sales_returns_joined(
-        lanes.sold(), lanes.back_dated(), lanes.staged
-    )
+    found["int_sales_enriched"] = Lanes.sold_wide
+    found["int_returns_enriched"] = Lanes.back_wide
+    found["int_sales_returns_joined"] = Lanes.sales_with_returns
     return found
 
 
@@ -153,6 +166,185 @@ REPORTS = {
 }
 
 
+class Models:
+    """Every model by name, with all its joins, for the quality rules."""
+
+    def __init__(self, lanes: Lanes):
+        self._lanes = lanes
+        self._build = {**_layers(), **MARTS}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name.startswith("raw_"):
+            return self._lanes.raw[name.removeprefix("raw_")]
+        return self._build[name](self._lanes)
+
+
+QUALITY = {
+    "quality_not_null": lambda lanes: checks.not_null(Models(lanes)),
+    "quality_unique": lambda lanes: checks.unique(Models(lanes)),
+    "quality_accepted_values": lambda lanes: checks.accepted_values(Models(lanes)),
+    "quality_relationships": lambda lanes: checks.relationships(Models(lanes)),
+    "quality_not_empty": lambda lanes: checks.not_empty(Models(lanes)),
+    "quality_row_counts": lambda lanes: checks.row_counts(Models(lanes), "silver_"),
+    "quality_missing_primary_keys": lambda lanes: checks.missing_primary_keys(lanes.silver),
+    "quality_negative_amounts": lambda lanes: checks.negative_amounts(lanes.silver, "silver_"),
+    "quality_returns_before_sale": lambda lanes: checks.returns_before_sale(
+        lanes.silver["returns"], "silver_returns", "returns_before_sale"
+    ),
+    "quality_return_date_ge_sale_date": lambda lanes: checks.return_date_not_before_sale(
+        lanes.back_dated(), "returns"
+    ),
+    "quality_fk_subset": lambda lanes: checks.quality.relationships(
+        lanes.raw["returns"], "returns", "sale_id", lanes.raw["sales"], "sale_id"
+    ),
+    "quality_exact_columns": lambda lanes: checks.exact_columns(lanes.raw),
+    # a column that does repeat: tells a working check from one that always finds nothing
+    "quality_unique_transactions": lambda lanes: unique(lanes.staged["sales"], "stg_sales", "transaction_id"),
+}
+
+
+def _full_join_using(lanes: Lanes) -> DataFrame:
+    sold = lanes.staged["sales"].groupBy(F.col("sale_date").alias("day")).agg(F.count("*").alias("sold"))
+    back = lanes.staged["returns"].groupBy(F.col("return_date").alias("day")).agg(F.count("*").alias("back"))
+    return full_merge("day", sold, back, zeros=["sold", "back"])
+
+
+def _spine_left_joins(lanes: Lanes) -> DataFrame:
+    """Distinct days of both facts, each side's count attached to them."""
+    sold = lanes.staged["sales"].groupBy("sale_date").agg(F.count("*").alias("sold"))
+    back = lanes.staged["returns"].groupBy("return_date").agg(F.count("*").alias("back"))
+    days = sold.select(F.col("sale_date").alias("day")).union(back.select("return_date")).distinct()
+    spine = attach(days, sold, "sale_date", {"sold": "sold"}, on="day")
+    spine = attach(spine, back, "return_date", {"back": "back"}, on="day")
+    return spine.fillna(0, subset=["sold", "back"])
+
+
+def _union_distinct(lanes: Lanes) -> DataFrame:
+    sale_days = lanes.staged["sales"].select(F.col("sale_date").alias("calendar_date"))
+    return sale_days.union(lanes.staged["returns"].select("return_date")).distinct()
+
+
+def _handled(lanes: Lanes) -> DataFrame:
+    counts = lanes.staged["returns"].groupBy("employee_id").agg(F.count("*").alias("handled"))
+    return attach(lanes.staged["employees"], counts, "employee_id", {"handled": "handled"}).select(
+        "employee_id", "store_id", F.coalesce("handled", F.lit(0)).alias("handled")
+    )
+
+
+def _scalar_threshold(lanes: Lanes) -> DataFrame:
+    """Employees next to the average over all of them, taken as a scalar."""
+    handled = read_twice(_handled(lanes))
+    average = handled.agg(F.avg("handled")).scalar()
+    return handled.withColumn("above_average", F.col("handled") > average)
+
+
+def _share_of_total(lanes: Lanes) -> DataFrame:
+    stores = read_twice(lanes.staged["returns"].groupBy("store_id").agg(F.count("*").alias("returns")))
+    share = marts.count_rate(F.col("returns"), grand_total(stores, "returns"))
+    return stores.withColumn("share", share)
+
+
+def _top_reason(lanes: Lanes) -> DataFrame:
+    totals = marts.reason_totals_by_product(lanes.staged["returns"])
+    return top_one(totals, ["product_id"], marts.reason_order()).select(
+        "product_id", "return_reason", "reason_return_count"
+    )
+
+
+def _quantile_threshold(lanes: Lanes) -> DataFrame:
+    """High-value limits: a floor, or an upper quantile of the amounts when that is larger."""
+    def limit(name: str, floor: int, q: str, df: DataFrame, amount: str) -> DataFrame:
+        value = F.greatest(F.lit(floor).cast("decimal(20,6)"), F.col("value"))
+        return exact_quantile(df, amount, q).select(F.lit(name).alias("limit_name"), value.alias("value"))
+
+    sales, returns = lanes.staged["sales"], lanes.staged["returns"]
+    return limit("selection", 150, "0.90", sales, "sale_amount").union(
+        limit("event", 200, "0.92", returns, "return_amount")
+    )
+
+
+def _members_by_group(lanes: Lanes) -> DataFrame:
+    """Employees of each store as numbered rows instead of one array per store."""
+    numbered = number_members(lanes.staged["employees"], "employee_id", "store_id")
+    return numbered.groupBy("store_id").agg(
+        F.count("*").alias("members"), F.min("member_no").alias("first_no"), F.max("member_no").alias("last_no"),
+        F.countDistinct("member_no").alias("numbers"), F.max("member_count").alias("member_count"),
+        F.min("employee_id").alias("first_employee"),
+    )
+
+
+def _temp_view_query(lanes: Lanes) -> DataFrame:
+    publish_views({"store_mart": lanes.mart_store()})
+    return lanes.spark.sql(
+        "SELECT store_region, count(*) AS stores, sum(total_returns) AS total_returns FROM store_mart GROUP BY store_region"
+    )
+
+
+OPERATORS = {
+    "full_join_using": _full_join_using,
+    "spine_left_joins": _spine_left_joins,
+    "union_distinct": _union_distinct,
+    "union_all_counts": lambda lanes: row_counts({f"{table.upper()}_RAW": lanes.raw[table] for table in TABLES}),
+    "scalar_threshold": _scalar_threshold,
+    "row_number_top1": _top_reason,
+    "share_of_total": _share_of_total,
+    "normalize_within_group": lambda lanes: share_within(_handled(lanes), "store_id", "handled", "share"),
+    "quantile_threshold": _quantile_threshold,
+    "members_by_group": _members_by_group,
+    "temp_view_query": _temp_view_query,
+}
+
+
+def _landed(lanes: Lanes, table: str) -> str:
+    """The raw table written as delimited files to the shared folder."""
+    landing = shared_folder(lanes.spark, f"landing-{table}")
+    write_csv(lanes.raw[table].select(*columns(table)), landing)
+    return landing
+
+
+def _without_load_values(loaded: DataFrame, table: str) -> DataFrame:
+    """Loaded rows with a mark for the load metadata, whose values differ from run to run."""
+    present = F.col("loaded_at").isNotNull() & F.col("source_file").isNotNull()
+    return loaded.select(*columns(table), present.alias("load_metadata_present"))
+
+
+def _copy_into(table: str):
+    return lambda lanes: _without_load_values(copy_into(lanes.spark, table, _landed(lanes, table)), table)
+
+
+def _bronze(table: str):
+    def run(lanes: Lanes) -> DataFrame:
+        target = shared_folder(lanes.spark, f"bronze-{table}")
+        lanes.raw[table].write.mode("overwrite").parquet(target)
+        return lanes.spark.read.parquet(target)
+
+    return run
+
+
+def _stream_copy(lanes: Lanes) -> DataFrame:
+    """Two landings of files loaded by two runs of the stream; each file is taken once."""
+    landing = shared_folder(lanes.spark, "stream-landing")
+    target, checkpoint = f"{landing}-rows", f"{landing}-checkpoint"
+    returns = lanes.raw["returns"].select(*columns("returns"))
+    for late in (False, True):
+        part = F.coalesce(F.col("policy_exception_flag"), F.lit(False)) == late
+        returns.filter(part).write.mode("append").option("header", True).csv(landing)
+        copy_new_files(lanes.spark, "returns", landing, target, checkpoint)
+    return _without_load_values(lanes.spark.read.parquet(target), "returns")
+
+
+def _stage_files(spark: SparkSession, folder: str) -> DataFrame:
+    listed = list_stage(spark, folder)
+    return listed.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), (F.col("length") > 0).alias("has_content"))
+
+
+SOURCES = {
+    **{f"copy_into_{table}": _copy_into(table) for table in TABLES},
+    **{f"bronze_{table}": _bronze(table) for table in TABLES},
+    "copy_into_incremental": _stream_copy,
+}
+
+
 def all_queries() -> dict[str, Query]:
-    found = {**_layers(), **MARTS, **ANALYSIS, **REPORTS}
-    return {name: _on_lanes(build) for name, build in found.items()}
+    found = {**_layers(), **MARTS, **ANALYSIS, **REPORTS, **QUALITY, **OPERATORS, **SOURCES}
+    return {**{name: _on_lanes(build) for name, build in found.items()}, "list_stage": _stage_files}
