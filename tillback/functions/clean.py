@@ -1,7 +1,8 @@
-"""Cleaning expressions for the two lanes.
+"""Cleaning expressions for the two lanes, as SQL text per column kind.
 
 The strict lane trims and casts; a value that does not fit its type fails the job. The lenient
-lane lower-cases all text and turns whatever it cannot read into null.
+lane lower-cases all text and turns whatever it cannot read into null. Text keeps plan building
+cheap: a table is one ``selectExpr``.
 """
 
 from __future__ import annotations
@@ -12,70 +13,47 @@ from pyspark.sql import functions as F
 from tillback.domains import FALSE_WORDS, KIND_TYPES, TRUE_WORDS, kinds
 
 
-def trimmed(name: str) -> Column:
-    return F.trim(F.col(name))
+def _words(words: list[str]) -> str:
+    return ", ".join(f"'{word}'" for word in words)
 
 
-def lower_trimmed(name: str) -> Column:
-    return F.lower(trimmed(name))
-
-
-def upper_trimmed(name: str) -> Column:
-    return F.upper(trimmed(name))
-
-
-def strict_cast(kind: str):
-    return lambda name: F.col(name).cast(KIND_TYPES[kind])
-
-
-def clean_text(name: str) -> Column:
-    return F.nullif(F.lower(F.trim(F.col(name).cast("string"))), F.lit(""))
+LOWER_TEXT = "nullif(lower(trim(cast({c} as string))), '')"
 
+STRICT = {
+    "text": "trim({c})",
+    "label": "lower(trim({c}))",
+    "code": "upper(trim({c}))",
+    **{kind: f"cast({{c}} as {KIND_TYPES[kind]})" for kind in ("date", "count", "money", "flag")},
+}
 
-def clean_date(name: str) -> Column:
-    return F.col(name).cast("string").try_cast("date")
+LENIENT = {
+    "text": LOWER_TEXT,
+    "label": LOWER_TEXT,
+    "code": LOWER_TEXT,
+    "date": "try_cast(cast({c} as string) as date)",
+    "count": "try_cast({c} as int)",
+    "money": "try_cast({c} as double)",
+    "flag": (
+        f"case when lower(trim(cast({{c}} as string))) in ({_words(TRUE_WORDS)}) then true"
+        f" when lower(trim(cast({{c}} as string))) in ({_words(FALSE_WORDS)}) then false end"
+    ),
+}
 
 
-def clean_double(name: str) -> Column:
-    return F.col(name).try_cast("double")
+def cleaned_column(rules: dict[str, str], kind: str, name: str) -> Column:
+    """One cleaned column outside of a table, e.g. ``cleaned_column(LENIENT, "date", "day")``."""
+    return F.expr(rules[kind].format(c=name))
 
 
-def clean_integer(name: str) -> Column:
-    return F.col(name).try_cast("int")
+def cleaned_columns(table: str, rules: dict[str, str]) -> list[str]:
+    """One cleaned output expression per declared column of ``table``."""
+    return [f"{rules[kind].format(c=name)} as {name}" for name, kind in kinds(table).items()]
 
 
-def clean_boolean(name: str) -> Column:
-    word = clean_text(name)
-    return F.when(word.isin(TRUE_WORDS), F.lit(True)).when(word.isin(FALSE_WORDS), F.lit(False))
+def clean_table(df: DataFrame, table: str, rules: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*cleaned_columns(table, rules))
 
 
 def as_bool(name: str) -> Column:
     """Two-valued reading of a boolean or of its text form; anything unknown is false."""
-    return F.coalesce(clean_text(name).isin(TRUE_WORDS), F.lit(False))
-
-
-STRICT = {
-    "text": trimmed,
-    "label": lower_trimmed,
-    "code": upper_trimmed,
-    **{kind: strict_cast(kind) for kind in ("date", "count", "money", "flag")},
-}
-
-LENIENT = {
-    "text": clean_text,
-    "label": clean_text,
-    "code": clean_text,
-    "date": clean_date,
-    "count": clean_integer,
-    "money": clean_double,
-    "flag": clean_boolean,
-}
-
-
-def clean_columns(table: str, rules: dict) -> list[Column]:
-    """One cleaned output column per declared column of ``table``."""
-    return [rules[kind](name).alias(name) for name, kind in kinds(table).items()]
-
-
-def clean_table(df: DataFrame, table: str, rules: dict) -> DataFrame:
-    return df.select(*clean_columns(table, rules))
+    return F.expr(f"coalesce({LOWER_TEXT.format(c=name)} in ({_words(TRUE_WORDS)}), false)")

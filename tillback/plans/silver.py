@@ -16,11 +16,10 @@ CLEANED_POLICY = "cleaned_policy_exception_flag"
 
 def cleaned(bronze: DataFrame, table: str) -> DataFrame:
     """Cleaned rows that have a key and, for a fact, no negative amount; an unknown amount stays."""
-    rows = clean_table(bronze, table, LENIENT).filter(F.col(PRIMARY_KEYS[table]).isNotNull())
+    kept = f"length(trim(cast({PRIMARY_KEYS[table]} as string))) > 0"
     if table in AMOUNTS:
-        amount = F.col(AMOUNTS[table])
-        rows = rows.filter(amount.isNull() | (amount >= 0))
-    return rows
+        kept += f" and coalesce(try_cast({AMOUNTS[table]} as double) >= 0, true)"
+    return clean_table(bronze.filter(kept), table, LENIENT)
 
 
 def silver_sales(bronze_sales: DataFrame) -> DataFrame:

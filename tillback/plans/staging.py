@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tillback.functions.clean import STRICT, clean_columns, trimmed
+from tillback.functions.clean import STRICT, cleaned_columns
+
+LOAD_METADATA = [
+    "cast(loaded_at as timestamp_ntz) as loaded_at",
+    "trim(source_file) as source_file",
+]
 
 
 def stage(raw: DataFrame, table: str) -> DataFrame:
-    return raw.select(
-        *clean_columns(table, STRICT),
-        F.col("loaded_at").cast("timestamp_ntz").alias("loaded_at"),
-        trimmed("source_file").alias("source_file"),
-    )
+    return raw.selectExpr(*cleaned_columns(table, STRICT), *LOAD_METADATA)
 
 
 class Staged:

@@ -6,12 +6,10 @@ elsewhere for checking. Frames are built per call: nothing is cached between dat
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillback.domains import columns
+from tillback.domains import TABLES
 
 # Load metadata given to derived rows.
 LOADED_AT = "2025-01-01 00:00:00"
@@ -47,138 +45,170 @@ ROLE_BY_LINE = {
 }
 
 
-def _label(code: str, labels: dict):
-    known = {key: value for key, value in labels.items() if key is not None}
-    chain = F
-    for key, value in known.items():
-        chain = chain.when(F.expr(code) == key, value)
-    return chain.otherwise(labels[None])
+def _label(code: str, labels: dict, name: str) -> str:
+    """SQL text of a code -> label table; the label without a code takes all other codes."""
+    known = " ".join(f"when {code} = {key!r} then '{label}'" for key, label in labels.items() if key is not None)
+    return f"case {known} else '{labels[None]}' end as {name}"
+
 
+def _id(prefix: str, *codes: str) -> str:
+    """SQL text of an identifier: the prefix, then the codes joined by dashes."""
+    return f"'{prefix}' || " + " || '-' || ".join(f"cast({code} as string)" for code in codes)
 
-def _text(prefix: str, expression: str) -> str:
-    return f"'{prefix}' || cast({expression} as string)"
+
+# The columns read from the given tables.
+GIVEN = {
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+        l_discount double, l_returnflag string, l_shipdate timestamp_ntz""",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+# Derivation of sale lines from lineitem, orders and part. What depends on the order
+# or the part alone is computed on that side of the join, once per order or part.
+PRICE = "cast(cast(p_retailprice as decimal(10,2)) * 0.02BD as decimal(10,2)) as unit_price"
+ORDER_COLUMNS = [
+    "o_orderkey",
+    _id("TXN", "o_orderkey") + " as transaction_id",
+    _id("C", "o_custkey") + " as customer_id",
+    _label("o_orderpriority", PAYMENT_BY_PRIORITY, "payment_method"),
+]
+PART_COLUMNS = ["p_partkey", _id("P", "p_partkey") + " as product_id", PRICE]
+SHIP_DAY = "year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate)"
+LINE_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+    _id("SL", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", SHIP_DAY, "cast(l_quantity as int)")
+    + " as sale_id",
+    "transaction_id", "cast(l_shipdate as date) as sale_date",
+    _id("S", "l_suppkey") + " as store_id",
+    "customer_id", "product_id",
+    "cast(l_quantity as decimal(10,0)) as quantity",
+    "unit_price", "cast(l_discount as decimal(4,2)) as disc", "payment_method",
+    _label("l_linenumber % 3", CHANNEL_BY_LINE, "sales_channel"),
+]
+DISCOUNT = "cast(unit_price * quantity * disc as decimal(10,2))"
+SALE_COLUMNS = [
+    "sale_id", "transaction_id", "sale_date", "store_id", "customer_id",
+    _id("E", "l_suppkey", "l_linenumber") + " as employee_id",
+    "product_id", "quantity", "unit_price",
+    f"{DISCOUNT} as discount_amount",
+    f"cast(unit_price * quantity - {DISCOUNT} as decimal(10,2)) as sale_amount",
+    "payment_method", "sales_channel",
+]
+# the square of the order key is taken modulo 7 first, so that it cannot overflow for large keys
+HANDLER = (
+    "1 + ((((l_orderkey % 7) * (l_orderkey % 7) + l_partkey) % 7) * (l_orderkey % 3)) % 7"
+)
+SENT_BACK = "l_returnflag = 'R' and (l_partkey % 4 = 0 or (l_partkey + l_orderkey) % 3 = 0)"
+UNITS_BACK = "cast(1 + l_orderkey % cast(quantity as bigint) as decimal(10,0))"
+RETURN_COLUMNS = [
+    "'RT' || substr(sale_id, 3) as return_id", "sale_id", "transaction_id",
+    "date_add(sale_date, cast((l_orderkey * 13 + l_partkey * 7) % 45 as int)) as return_date",
+    "store_id", "customer_id",
+    _id("E", "l_suppkey", HANDLER) + " as employee_id",
+    "product_id",
+    f"{UNITS_BACK} as return_quantity",
+    f"cast(unit_price * (1 - disc) * {UNITS_BACK} as decimal(10,2)) as return_amount",
+    _label("(l_partkey + l_linenumber) % 8", REASON_BY_INDEX, "return_reason"),
+    _label("l_orderkey % 3", RETURN_CHANNEL_BY_ORDER, "return_channel"),
+    "case when l_orderkey % 7 <> 0 then payment_method else 'store_credit' end as refund_method",
+    "l_orderkey % 7 <> 0 as receipt_present",
+    _label("l_orderkey % 5", CONDITION_BY_ORDER, "item_condition"),
+    "l_orderkey % 11 = 0 as policy_exception_flag",
+]
+# Derivation of the dimensions.
+PRODUCT_COLUMNS = [
+    _id("P", "p_partkey") + " as product_id", "p_name as product_name",
+    _label("p_type", CATEGORY_BY_TYPE, "product_category"),
+    _id("sub_", "p_size % 5") + " as product_subcategory", "p_brand as brand",
+    PRICE,
+    "cast(cast(p_retailprice as decimal(10,2)) * 0.012BD as decimal(10,2)) as cost",
+    "p_partkey % 25 <> 0 as active_flag",
+]
+STORE_COLUMNS = [
+    _id("S", "s_suppkey") + " as store_id", "s_name as store_name", "n_name as city",
+    _id("P", "n_regionkey") + " as province", "r_name as region",
+    _label("s_suppkey % 5", STORE_TYPE_BY_KEY, "store_type"),
+    "date_add(date '2010-01-01', cast(s_suppkey % 5000 as int)) as open_date",
+]
+CUSTOMER_COLUMNS = [
+    _id("C", "c_custkey") + " as customer_id",
+    _label("c_mktsegment", TIER_BY_SEGMENT, "loyalty_tier"),
+    "date_add(date '2018-01-01', cast(c_custkey % 2900 as int)) as signup_date",
+    "n_name as city", _id("P", "n_regionkey") + " as province",
+]
+EMPLOYEE_COLUMNS = [
+    _id("E", "l_suppkey", "l_linenumber") + " as employee_id", _id("S", "l_suppkey") + " as store_id",
+    _label("l_linenumber", ROLE_BY_LINE, "role"),
+    "date_add(date '2018-01-01', cast((l_suppkey * 7 + l_linenumber) % 2900 as int)) as hire_date",
+    "(l_suppkey * 7 + l_linenumber) % 10 <> 0 as active_flag",
+]
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows hashed over all cores when their files give fewer tasks than there are cores.
+
+    A file of one row group is otherwise decoded and processed by a single task. Large inputs have
+    far more tasks than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 class RetailTables:
     """Lazy raw tables over one data folder: ``tables["sales"]`` and so on."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._read: Callable[[str], DataFrame] = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
+        self._spark = spark
+        self._folder = folder
 
     def __getitem__(self, table: str) -> DataFrame:
         frame = getattr(self, f"_{table}")()
-        return frame.select(
-            *columns(table),
-            F.lit(LOADED_AT).cast("timestamp_ntz").alias("loaded_at"),
-            F.lit(f"{table}.csv").alias("source_file"),
+        return frame.selectExpr(
+            "*",
+            f"cast('{LOADED_AT}' as timestamp_ntz) as loaded_at",
+            f"'{table}.csv' as source_file",
         )
 
-    def keys(self) -> list[str]:
-        return ["sales", "returns", "products", "stores", "customers", "employees"]
+    def keys(self):
+        return TABLES
 
-    def _sale_lines(self) -> DataFrame:
-        lines = (
-            self._read("lineitem")
-            .join(self._read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self._read("part"), F.col("l_partkey") == F.col("p_partkey"))
-        )
-        day = "year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate)"
-        parts = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", day, "cast(l_quantity as int)"]
-        sale_id = "'SL' || " + " || '-' || ".join(f"cast({part} as string)" for part in parts)
-        priced = lines.selectExpr(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "o_orderpriority",
-            f"{sale_id} as sale_id",
-            f"{_text('TXN', 'l_orderkey')} as transaction_id",
-            "cast(l_shipdate as date) as sale_date",
-            f"{_text('S', 'l_suppkey')} as store_id",
-            f"{_text('C', 'o_custkey')} as customer_id",
-            f"{_text('P', 'l_partkey')} as product_id",
-            "cast(l_quantity as decimal(10,0)) as quantity",
-            "cast(cast(p_retailprice as decimal(10,2)) * 0.02BD as decimal(10,2)) as unit_price",
-            "cast(l_discount as decimal(4,2)) as disc",
+    def _read(self, name: str) -> DataFrame:
+        return self._spark.read.schema(GIVEN[name]).parquet(f"{self._folder}/{name}.parquet")
+
+    def _lines(self) -> DataFrame:
+        return (
+            spread(self._read("lineitem"), "l_orderkey")
+            .join(self._read("orders").selectExpr(*ORDER_COLUMNS), F.expr("l_orderkey = o_orderkey"))
+            .join(self._read("part").selectExpr(*PART_COLUMNS), F.expr("l_partkey = p_partkey"))
         )
-        return priced.withColumns({
-            "payment_method": _label("o_orderpriority", PAYMENT_BY_PRIORITY),
-            "sales_channel": _label("l_linenumber % 3", CHANNEL_BY_LINE),
-            "discount_amount": F.expr("cast(unit_price * quantity * disc as decimal(10,2))"),
-        })
 
     def _sales(self) -> DataFrame:
-        return self._sale_lines().withColumns({
-            "employee_id": F.expr(_text("E", "l_suppkey") + " || " + _text("-", "l_linenumber")),
-            "sale_amount": F.expr("cast(unit_price * quantity - discount_amount as decimal(10,2))"),
-        })
+        return self._lines().selectExpr(*LINE_COLUMNS).selectExpr(*SALE_COLUMNS)
 
     def _returns(self) -> DataFrame:
-        sent_back = F.expr(
-            "l_returnflag = 'R' and (l_partkey % 4 = 0 or (l_partkey + l_orderkey) % 3 = 0)"
-        )
-        # the square is taken modulo 7 first, so that it cannot overflow for large order keys
-        square = "(l_orderkey % 7) * (l_orderkey % 7)"
-        handler = f"1 + ((({square} + l_partkey) % 7) * (l_orderkey % 3)) % 7"
-        receipt = "l_orderkey % 7 <> 0"
-        units = "cast(1 + l_orderkey % cast(quantity as bigint) as decimal(10,0))"
-        return self._sale_lines().filter(sent_back).withColumns({
-            "return_id": F.expr("'RT' || substr(sale_id, 3)"),
-            "return_date": F.expr("date_add(sale_date, cast((l_orderkey * 13 + l_partkey * 7) % 45 as int))"),
-            "employee_id": F.expr(_text("E", "l_suppkey") + " || " + _text("-", handler)),
-            "return_quantity": F.expr(units),
-            "return_amount": F.expr(f"cast(unit_price * (1 - disc) * {units} as decimal(10,2))"),
-            "return_reason": _label("(l_partkey + l_linenumber) % 8", REASON_BY_INDEX),
-            "return_channel": _label("l_orderkey % 3", RETURN_CHANNEL_BY_ORDER),
-            "refund_method": F.expr(f"case when {receipt} then payment_method else 'store_credit' end"),
-            "receipt_present": F.expr(receipt),
-            "item_condition": _label("l_orderkey % 5", CONDITION_BY_ORDER),
-            "policy_exception_flag": F.expr("l_orderkey % 11 = 0"),
-        })
+        return self._lines().filter(SENT_BACK).selectExpr(*LINE_COLUMNS).selectExpr(*RETURN_COLUMNS)
 
     def _products(self) -> DataFrame:
-        return self._read("part").select(
-            F.expr(f"{_text('P', 'p_partkey')} as product_id"),
-            F.col("p_name").alias("product_name"),
-            _label("p_type", CATEGORY_BY_TYPE).alias("product_category"),
-            F.expr(f"{_text('sub_', 'p_size % 5')} as product_subcategory"),
-            F.col("p_brand").alias("brand"),
-            F.expr("cast(cast(p_retailprice as decimal(10,2)) * 0.02BD as decimal(10,2)) as unit_price"),
-            F.expr("cast(cast(p_retailprice as decimal(10,2)) * 0.012BD as decimal(10,2)) as cost"),
-            F.expr("p_partkey % 25 <> 0 as active_flag"),
-        )
+        return self._read("part").selectExpr(*PRODUCT_COLUMNS)
 
     def _stores(self) -> DataFrame:
-        return (
-            self._read("supplier")
-            .join(self._read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(self._read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                F.expr(f"{_text('S', 's_suppkey')} as store_id"),
-                F.col("s_name").alias("store_name"),
-                F.col("n_name").alias("city"),
-                F.expr(f"{_text('P', 'n_regionkey')} as province"),
-                F.col("r_name").alias("region"),
-                _label("s_suppkey % 5", STORE_TYPE_BY_KEY).alias("store_type"),
-                F.expr("date_add(date '2010-01-01', cast(s_suppkey % 5000 as int)) as open_date"),
-            )
-        )
+        return self._located("supplier", "s_nationkey").selectExpr(*STORE_COLUMNS)
 
     def _customers(self) -> DataFrame:
+        return self._located("customer", "c_nationkey").selectExpr(*CUSTOMER_COLUMNS)
+
+    def _located(self, table: str, nation: str) -> DataFrame:
         return (
-            self._read("customer")
-            .join(self._read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                F.expr(f"{_text('C', 'c_custkey')} as customer_id"),
-                _label("c_mktsegment", TIER_BY_SEGMENT).alias("loyalty_tier"),
-                F.expr("date_add(date '2018-01-01', cast(c_custkey % 2900 as int)) as signup_date"),
-                F.col("n_name").alias("city"),
-                F.expr(f"{_text('P', 'n_regionkey')} as province"),
-            )
+            self._read(table)
+            .join(self._read("nation"), F.expr(f"{nation} = n_nationkey"))
+            .join(self._read("region"), F.expr("n_regionkey = r_regionkey"))
         )
 
     def _employees(self) -> DataFrame:
         seats = self._read("lineitem").select("l_suppkey", "l_linenumber").distinct()
-        return seats.select(
-            F.expr(_text("E", "l_suppkey") + " || " + _text("-", "l_linenumber")).alias("employee_id"),
-            F.expr(f"{_text('S', 'l_suppkey')} as store_id"),
-            _label("l_linenumber", ROLE_BY_LINE).alias("role"),
-            F.expr("date_add(date '2018-01-01', cast((l_suppkey * 7 + l_linenumber) % 2900 as int)) as hire_date"),
-            F.expr("(l_suppkey * 7 + l_linenumber) % 10 <> 0 as active_flag"),
-        )
+        return seats.selectExpr(*EMPLOYEE_COLUMNS)
