@@ -113,7 +113,7 @@ PRODUCT_SHOWN = """product_id, product_name, product_category, total_units_sold,
 
 
 def reports() -> dict[str, str]:
-    grouped = lambda value: f"format('{{:,}}', cast(round({value}) as bigint))"
+    grouped = lambda value: f"format('{{:,}}', cast(round_even({value}, 0) as bigint))"
     return {
         "report_kpis": strict(f"""
             select *, {grouped("total_sales")} as total_sales_text,

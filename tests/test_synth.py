@@ -1,0 +1,115 @@
+"""Invariants of the synthetic tables, on small seeded sizes."""
+
+import collections
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillback.domains import RETURN_REASONS, columns
+from tillback.operators import quality
+from tillback.operators.sampling import choose_weighted, sample_exact
+from tillback.plans import checks, synth
+from tillback.sources.landing import write_csv
+
+COUNTS = {"products": 25, "stores": 5, "customers": 40, "employees": 15, "sales": 150, "returns": 30}
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """The generated tables, written once as delimited files and parquet."""
+    folder = tmp_path_factory.mktemp("synth")
+    found = {}
+    for name, frame in synth.generate_all(spark, COUNTS, seed=123).items():
+        frame.write.parquet(f"{folder}/{name}")
+        found[name] = spark.read.parquet(f"{folder}/{name}")
+        write_csv(found[name], f"{folder}/{name}.csv")
+        read = spark.read.option("header", True).csv(f"{folder}/{name}.csv")
+        assert read.columns == columns(name) and read.count() == COUNTS[name]
+    return found
+
+
+def test_columns_and_counts(tables):
+    for name, frame in tables.items():
+        assert frame.columns == columns(name) and frame.count() == COUNTS[name], name
+
+
+def test_keys_dates_and_amounts(tables):
+    sales, returns = tables["sales"], tables["returns"]
+    assert quality.orphan_keys(returns, "sale_id", sales, "sale_id").isEmpty()
+    dated = returns.join(sales.select("sale_id", "sale_date"), "sale_id", "left")
+    assert checks.return_date_not_before_sale(dated, "returns").first().violations == 0
+    assert quality.negative_rows(sales, "sale_amount").isEmpty() and quality.negative_rows(returns, "return_amount").isEmpty()
+    for child, column, parent in (
+        ("sales", "product_id", "products"), ("sales", "store_id", "stores"), ("sales", "customer_id", "customers"),
+        ("sales", "employee_id", "employees"), ("employees", "store_id", "stores"), ("returns", "employee_id", "employees"),
+    ):
+        assert quality.orphan_keys(tables[child], column, tables[parent], column).isEmpty(), (child, column)
+    for name, key in (("sales", "sale_id"), ("returns", "return_id"), ("returns", "sale_id"), ("employees", "employee_id")):
+        assert quality.repeated_values(tables[name], key).isEmpty(), (name, key)
+    assert quality.unaccepted_rows(returns, "return_reason", RETURN_REASONS).isEmpty()
+
+
+def test_structure(tables):
+    per_store = [row["count"] for row in tables["employees"].groupBy("store_id").count().collect()]
+    assert per_store == [3] * 5
+    assert tables["stores"].select("city").distinct().count() == 5
+    home = tables["sales"].join(tables["employees"].select("employee_id", F.col("store_id").alias("home")), "employee_id")
+    assert home.filter("home <> store_id").isEmpty()
+    assert tables["products"].filter("unit_price < 4.99 or unit_price > 1299.99 or cost >= unit_price").isEmpty()
+    assert quality.forbidden_columns(tables["customers"], checks.IDENTIFYING_TOKENS) == []
+    units = tables["returns"].join(tables["sales"].select("sale_id", "quantity", "sale_amount"), "sale_id")
+    assert units.filter("return_quantity < 1 or return_quantity > quantity or return_amount > sale_amount + 0.01").isEmpty()
+
+
+def test_a_seed_fixes_the_rows(spark, tables):
+    again = synth.generate_all(spark, COUNTS, seed=123)
+    other = synth.generate_all(spark, COUNTS, seed=124)
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        for name in ("products", "employees", "returns"):
+            assert sorted(again[name].collect(), key=str) == sorted(tables[name].collect(), key=str), name
+        assert other["products"].exceptAll(tables["products"]).count() > 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_weighted_choice_follows_the_weights(spark):
+    people = spark.createDataFrame([("a", 6.0), ("b", 3.0), ("c", 1.0)], "id string, w double")
+    drawn = choose_weighted(synth.numbers(spark, 6000), "n", people, "id", "w", {"who": "id"}, seed=5, label="t")
+    found = collections.Counter(row.who for row in drawn.collect())
+    assert sum(found.values()) == 6000
+    for who, share in (("a", 0.6), ("b", 0.3), ("c", 0.1)):
+        assert abs(found[who] / 6000 - share) < 0.03
+
+
+def test_choice_within_a_group_falls_back_to_everyone(spark):
+    people = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "y")], "id string, g string")
+    facts = spark.createDataFrame([(i, g) for i in range(200) for g in ("x", "y", "z", None)], "n int, g string")
+    facts = facts.withColumn("k", F.concat_ws("-", "n", "g"))
+    rows = choose_weighted(
+        facts, "k", people, "id", "1", {"who": "id"}, seed=5, label="t", group="g", fact_group="g"
+    ).collect()
+    assert len(rows) == 800
+    by_group = collections.defaultdict(set)
+    for row in rows:
+        by_group[row.g].add(row.who)
+    assert by_group == {"x": {"a", "b"}, "y": {"c"}, "z": {"a", "b", "c"}, None: {"a", "b", "c"}}
+
+
+@pytest.mark.parametrize("count", [0, 1, 137, 1000, 2000])
+def test_sample_is_exact(spark, count):
+    frame = synth.numbers(spark, 1000)
+    found = [row.n for row in sample_exact(frame, "n", count, seed=3, label="s").collect()]
+    assert len(found) == len(set(found)) == min(count, 1000)
+
+
+def test_sample_prefers_heavy_rows(spark):
+    frame = synth.numbers(spark, 1000).withColumn("w", F.expr("if(n <= 100, 20.0D, 1.0D)"))
+    found = [row.n for row in sample_exact(frame, "n", 100, seed=3, label="s", weight="w").collect()]
+    assert len(found) == 100 and sum(n <= 100 for n in found) > 50
+
+
+def test_sales_need_customers(spark):
+    none = spark.createDataFrame([], "store_id string")
+    with pytest.raises(ValueError, match="stores"):
+        synth.generate_employees(synth.numbers(spark, 3), none)
