@@ -86,16 +86,17 @@ def choose_weighted(
     ranged = cumulated(everyone, key, "_group").withColumn(
         "_width", F.expr(f"greatest(1, _total div least(_members, {MAX_SLOTS}))")
     )
-    totals = ranged.groupBy(F.col("_group").alias("_known")).agg(F.max("_total").alias("_of"), F.max("_width").alias("_step"))
+    sums = everyone.groupBy(F.col("_group").alias("_known")).agg(F.sum("_weight").alias("_of"), F.count("*").alias("_n"))
+    totals = sums.select("_known", "_of", F.expr(f"greatest(1, _of div least(_n, {MAX_SLOTS}))").alias("_step"))
     if group:
         wanted = facts.join(totals.filter(F.col("_known") != EVERYONE), F.col(fact_group) == F.col("_known"), "left")
     else:
         wanted = facts.withColumns({name: F.lit(None).cast(kind) for name, kind in (("_known", "string"), ("_of", "bigint"), ("_step", "bigint"))})
-    whole = totals.filter(F.col("_known") == EVERYONE)
+    whole = totals.filter(F.col("_known") == EVERYONE).select(F.struct("_of", "_step")).scalar()
     wanted = wanted.withColumns({
         "_known": F.coalesce("_known", F.lit(EVERYONE)),
-        "_of": F.coalesce("_of", whole.select("_of").scalar()),
-        "_step": F.coalesce("_step", whole.select("_step").scalar()),
+        "_of": F.coalesce(F.col("_of"), whole["_of"]),
+        "_step": F.coalesce(F.col("_step"), whole["_step"]),
     }).withColumn("_ticket", F.expr(below(seed, label, fact_key, "_of"))).withColumn("_at", F.expr("_ticket div _step"))
     slots = ranged.select(
         F.col("_group").alias("_in"), "_lo", "_hi",
@@ -113,7 +114,8 @@ def sample_exact(df: DataFrame, key: str, count, *, seed: int, label: str, weigh
 
     Every row gets an exponential key with its weight as rate, and the smallest keys win. Keys are
     counted in ordered buckets; whole buckets below the limit are taken by a filter, and only the
-    bucket at the limit is ranked. ``count`` is a number or a scalar column.
+    bucket at the limit is ranked. ``count`` is a number or a scalar column. ``df`` is read more
+    than once, so it should be a stored table.
     """
     arrival = f"-ln(greatest({uniform(seed, label, key)}, 1.0E-18D)) / ({weight})"
     keyed = df.withColumn("_arrival", F.expr(arrival)).withColumn(
@@ -123,8 +125,8 @@ def sample_exact(df: DataFrame, key: str, count, *, seed: int, label: str, weigh
     through = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     limit = count if not isinstance(count, int) else F.lit(count)
     reached = sizes.withColumn("_before", F.sum("_n").over(through) - F.col("_n")).filter(F.col("_before") < limit)
-    edge = reached.agg(F.max("_bucket")).scalar()
-    taken = reached.agg(F.max("_before")).scalar()
+    last_bucket = reached.agg(F.max(F.struct("_bucket", "_before"))).scalar()
+    edge, taken = last_bucket["_bucket"], last_bucket["_before"]
     inner = keyed.filter(F.col("_bucket") < edge)
     at_edge = keyed.filter(F.col("_bucket") == edge).withColumn(
         "_rank", F.row_number().over(Window.partitionBy("_bucket").orderBy("_arrival", key))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SHARED_FOLDER = "spark.checkpoint.dir"
 
@@ -21,3 +21,13 @@ def shared_folder(spark: SparkSession, label: str) -> str:
             raise ValueError(f"set {SHARED_FOLDER} to a folder that all executors can reach")
         base = tempfile.mkdtemp(prefix="tillback-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame once to the shared folder and go on from the stored rows.
+
+    Used where later steps read a frame several times; the stored rows also outlive lost executors.
+    """
+    path = shared_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
