@@ -11,12 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillback.domains import TABLES, columns
+from tillback.domains import PRIMARY_KEYS, TABLES, columns
 from tillback.operators.joins import attach, full_merge
-from tillback.operators.quality import row_counts, unique
+from tillback.operators.quality import row_counts, union_all, unique
 from tillback.operators.ranking import exact_quantile, number_members, top_one
 from tillback.operators.shares import grand_total, read_twice, share_within
-from tillback.plans import analysis, checks, gold, marts, reports
+from tillback.operators.sampling import sample_exact
+from tillback.plans import analysis, checks, gold, marts, reports, synth
 from tillback.plans.intermediate import (
     int_returns_enriched, int_sales_enriched, int_sales_returns_joined, return_flags, return_timing,
     sale_measures,
@@ -25,7 +26,7 @@ from tillback.plans.silver import Silver
 from tillback.plans.staging import Staged
 from tillback.sources.adapter import RetailTables
 from tillback.sources.landing import copy_into, list_stage, write_csv
-from tillback.sources.scratch import shared_folder
+from tillback.sources.scratch import settled, shared_folder
 from tillback.sources.tables import publish_views
 from tillback.streaming.incremental import copy_new_files
 
@@ -345,6 +346,85 @@ SOURCES = {
 }
 
 
+def _numbers(lanes: Lanes, table: str) -> DataFrame:
+    """Entity numbers 1..n for as many rows as the given table has."""
+    key = PRIMARY_KEYS[table]
+    return number_members(lanes.raw[table].select(key), key).select((F.col("member_no") + 1).alias("n"))
+
+
+class Synthetic:
+    """Synthetic tables as large as the given ones; each is stored when first needed."""
+
+    def __init__(self, lanes: Lanes):
+        self._lanes = lanes
+        self._stored: dict[str, DataFrame] = {}
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._stored:
+            self._stored[table] = settled(getattr(self, f"_{table}")(_numbers(self._lanes, table)), f"synth-{table}")
+        return self._stored[table]
+
+    def _products(self, ids: DataFrame) -> DataFrame:
+        return synth.generate_products(ids)
+
+    def _stores(self, ids: DataFrame) -> DataFrame:
+        return synth.generate_stores(ids, distinct_places=False)
+
+    def _customers(self, ids: DataFrame) -> DataFrame:
+        return synth.generate_customers(ids)
+
+    def _employees(self, ids: DataFrame) -> DataFrame:
+        return synth.generate_employees(ids, self["stores"])
+
+    def _sales(self, ids: DataFrame) -> DataFrame:
+        return synth.generate_sales(ids, self["products"], self["stores"], self["customers"], self["employees"])
+
+    def _returns(self, ids: DataFrame) -> DataFrame:
+        count = ids.agg(F.count("*")).scalar()
+        return synth.generate_returns(count, self["sales"], self["products"], self["stores"], self["employees"])
+
+
+def _synth_invariants(lanes: Lanes) -> DataFrame:
+    """Rows, distinct keys and violated invariants of every synthetic table."""
+    tables = Synthetic(lanes)
+    dated = tables["returns"].join(
+        tables["sales"].select("sale_id", "sale_date", "quantity", "store_id").withColumnRenamed("store_id", "sold_at"),
+        "sale_id", "left",
+    )
+    wrong = {
+        "products": (tables["products"], "not unit_price between 4.99 and 1299.99 or cost > unit_price"),
+        "stores": (tables["stores"], "store_type is null or city is null"),
+        "customers": (tables["customers"], "loyalty_tier is null or city is null"),
+        "employees": (tables["employees"], "role is null or store_id is null"),
+        "sales": (tables["sales"], "sale_amount < 0 or discount_amount < 0 or quantity not between 1 and 5"),
+        "returns": (dated, """coalesce(return_date < sale_date, true) or return_amount < 0 or sold_at <> store_id
+            or return_quantity not between 1 and quantity"""),
+    }
+    return union_all([
+        frame.agg(
+            F.count("*").alias("row_count"), F.countDistinct(PRIMARY_KEYS[name]).alias("distinct_keys"),
+            F.count_if(F.expr(condition)).alias("violations"),
+        ).select(F.lit(name).alias("table_name"), "row_count", "distinct_keys", "violations")
+        for name, (frame, condition) in wrong.items()
+    ])
+
+
+def _weighted_sample(lanes: Lanes) -> DataFrame:
+    """A tenth of all sales, drawn without replacement by amount: its size and distinct sales."""
+    sales = settled(lanes.raw["sales"].select("sale_id", "sale_amount"), "sample-source")
+    tenth = sales.agg(F.expr("count(*) div 10")).scalar()
+    weight = "greatest(cast(sale_amount as double), 0.01D) / 1000"
+    drawn = sample_exact(sales, "sale_id", tenth, seed=synth.SEED, label="sample", weight=weight)
+    return drawn.agg(F.count("*").alias("sampled"), F.countDistinct("sale_id").alias("distinct_sales"))
+
+
+SYNTHETIC = {
+    **{f"synth_{table}": lambda lanes, table=table: Synthetic(lanes)[table] for table in TABLES},
+    "synth_invariants": _synth_invariants,
+    "weighted_sample": _weighted_sample,
+}
+
+
 def all_queries() -> dict[str, Query]:
-    found = {**_layers(), **MARTS, **ANALYSIS, **REPORTS, **QUALITY, **OPERATORS, **SOURCES}
+    found = {**_layers(), **MARTS, **ANALYSIS, **REPORTS, **QUALITY, **OPERATORS, **SOURCES, **SYNTHETIC}
     return {**{name: _on_lanes(build) for name, build in found.items()}, "list_stage": _stage_files}
