@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-NUMBERING_BUCKETS = 1024
+NUMBERING_BUCKETS = 16_384
 CENTS_PER_BUCKET = 100_000
 
 
@@ -29,7 +29,8 @@ def number_members(
     so a group holding a third of all rows is still numbered by many tasks. Without ``group`` the
     whole table is numbered. Members are ordered by bucket, then by ``order``.
     """
-    group_key = F.col(group) if group else F.lit(0)
+    # a text that is never null, so that the join below keeps the partitioning of the window
+    group_key = F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit("")) if group else F.lit("")
     spread = df.withColumns({"_group": group_key, "_bucket": F.pmod(F.xxhash64(order), F.lit(buckets))})
     sizes = spread.groupBy("_group", "_bucket").agg(F.count("*").alias("_size"))
     by_group = Window.partitionBy("_group")
@@ -42,7 +43,7 @@ def number_members(
     )
     local = Window.partitionBy("_group", "_bucket").orderBy(order)
     numbered = spread.withColumn("_local", F.row_number().over(local) - 1)
-    same_bucket = F.col("_group").eqNullSafe(F.col("_offset_group")) & (F.col("_bucket") == F.col("_offset_bucket"))
+    same_bucket = (F.col("_group") == F.col("_offset_group")) & (F.col("_bucket") == F.col("_offset_bucket"))
     return (
         numbered.join(offsets, same_bucket)
         .withColumn("member_no", F.col("_local") + F.col("_offset"))

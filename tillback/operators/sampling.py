@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 WEIGHT_UNITS = 1_000_000
 MAX_SLOTS = 1_048_576
-BUCKETS = 1024
-KEY_BUCKETS = 65_536
+BUCKETS = 16_384
+BUCKETS_PER_OCTAVE = 16_384
 EVERYONE = "*"
 
 
@@ -113,13 +113,14 @@ def sample_exact(df: DataFrame, key: str, count, *, seed: int, label: str, weigh
     """Exactly ``count`` rows (or all, if fewer) without replacement, drawn by weight.
 
     Every row gets an exponential key with its weight as rate, and the smallest keys win. Keys are
-    counted in ordered buckets; whole buckets below the limit are taken by a filter, and only the
-    bucket at the limit is ranked. ``count`` is a number or a scalar column. ``df`` is read more
+    counted in ordered buckets of equal width on a logarithmic scale, whatever the size of the
+    weights; whole buckets below the limit are taken by a filter, and only the bucket at the limit,
+    which holds about 0.002 % of the rows, is ranked. ``count`` is a number or a scalar column. ``df`` is read more
     than once, so it should be a stored table.
     """
     arrival = f"-ln(greatest({uniform(seed, label, key)}, 1.0E-18D)) / ({weight})"
     keyed = df.withColumn("_arrival", F.expr(arrival)).withColumn(
-        "_bucket", F.expr(f"cast(floor({KEY_BUCKETS} * (1 - exp(-_arrival))) as int)")
+        "_bucket", F.expr(f"cast(floor({BUCKETS_PER_OCTAVE} * log2(_arrival)) as bigint)")
     )
     sizes = keyed.groupBy("_bucket").agg(F.count("*").alias("_n"))
     through = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)

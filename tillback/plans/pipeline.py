@@ -33,6 +33,25 @@ class Store:
         return self.spark.table(table)
 
 
+# Marts of the strict lane over any mapping of models (staged, intermediate) by name.
+MART_PLANS = {
+    "mart_daily_sales_returns_summary": lambda models: marts.daily_sales_returns_summary(
+        models["int_sales_enriched"], models["int_returns_enriched"]
+    ),
+    "mart_return_rate_by_product": lambda models: marts.return_rate_by_product(
+        models["stg_products"], models["int_sales_returns_joined"], models["int_returns_enriched"]
+    ),
+    "mart_return_rate_by_store": lambda models: marts.return_rate_by_store(
+        models["stg_stores"], models["int_sales_enriched"], models["int_returns_enriched"]
+    ),
+    "mart_return_reason_summary": lambda models: marts.return_reason_summary(models["int_returns_enriched"]),
+    "mart_return_policy_exceptions": lambda models: marts.return_policy_exceptions(models["int_returns_enriched"]),
+    "mart_employee_return_activity": lambda models: marts.employee_return_activity(
+        models["stg_employees"], models["int_returns_enriched"]
+    ),
+}
+
+
 def build_strict(
     store: Store, raw, target: str, intermediate: str | None = None, mart_schema: str | None = None
 ) -> dict[str, DataFrame]:
@@ -49,15 +68,7 @@ def build_strict(
     joined = store.keep(int_sales_returns_joined(sales, returns), middle, "int_sales_returns_joined", fact=True)
     built.update(int_sales_enriched=sales, int_returns_enriched=returns, int_sales_returns_joined=joined)
 
-    plans = {
-        "mart_daily_sales_returns_summary": marts.daily_sales_returns_summary(sales, returns),
-        "mart_return_rate_by_product": marts.return_rate_by_product(staged["products"], joined, returns),
-        "mart_return_rate_by_store": marts.return_rate_by_store(staged["stores"], sales, returns),
-        "mart_return_reason_summary": marts.return_reason_summary(returns),
-        "mart_return_policy_exceptions": marts.return_policy_exceptions(returns),
-        "mart_employee_return_activity": marts.employee_return_activity(staged["employees"], returns),
-    }
-    built.update({name: store.keep(plan, last, name) for name, plan in plans.items()})
+    built.update({name: store.keep(plan(built), last, name) for name, plan in MART_PLANS.items()})
     return built
 
 

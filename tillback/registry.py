@@ -22,6 +22,7 @@ from tillback.plans.intermediate import (
     int_returns_enriched, int_sales_enriched, int_sales_returns_joined, return_flags, return_timing,
     sale_measures,
 )
+from tillback.plans.pipeline import MART_PLANS
 from tillback.plans.silver import Silver
 from tillback.plans.staging import Staged
 from tillback.sources.adapter import RetailTables
@@ -168,16 +169,32 @@ REPORTS = {
 
 
 class Models:
-    """Every model by name, with all its joins, for the quality rules."""
+    """Every model by name, with all its joins, for the quality rules.
+
+    Intermediate models are stored when first needed, as in a whole-lane build, because several
+    rules and marts read them.
+    """
 
     def __init__(self, lanes: Lanes):
         self._lanes = lanes
-        self._build = {**_layers(), **MARTS}
+        self._layers = _layers()
+        self._stored: dict[str, DataFrame] = {}
+
+    def _intermediate(self, name: str) -> DataFrame:
+        if name == "int_sales_returns_joined":
+            return int_sales_returns_joined(self["int_sales_enriched"], self["int_returns_enriched"])
+        return self._layers[name](self._lanes)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name.startswith("raw_"):
             return self._lanes.raw[name.removeprefix("raw_")]
-        return self._build[name](self._lanes)
+        if name in MART_PLANS:
+            return MART_PLANS[name](self)
+        if not name.startswith("int_"):
+            return self._layers[name](self._lanes)
+        if name not in self._stored:
+            self._stored[name] = settled(self._intermediate(name), name)
+        return self._stored[name]
 
 
 QUALITY = {

@@ -36,11 +36,17 @@ def create_namespace(spark: SparkSession, *names: str) -> None:
 def write_overwrite(
     df: DataFrame, table: str, *, fmt: str = FORMAT, bucket_by: str | None = None, buckets: int = 0
 ) -> None:
-    """Replace a table. Bucketing by a key lets later joins and distinct counts on it stay in place."""
-    writer = df.write.format(fmt).mode("overwrite")
-    if bucket_by and buckets:
-        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
-    writer.saveAsTable(table)
+    """Replace a table. Bucketing by a key lets later joins and distinct counts on it stay in place.
+
+    Rows are moved to their bucket before writing, which gives one file per bucket instead of one
+    per task and bucket; use it for keys that identify rows.
+    """
+    if not (bucket_by and buckets):
+        df.write.format(fmt).mode("overwrite").saveAsTable(table)
+        return
+    placed = df.repartition(buckets, bucket_by)
+    writer = placed.write.format(fmt).mode("overwrite")
+    writer.bucketBy(buckets, bucket_by).sortBy(bucket_by).saveAsTable(table)
 
 
 def copy_to_bronze(spark: SparkSession, sources: Mapping[str, str], prefix: str, fmt: str = FORMAT) -> dict[str, str]:
