@@ -189,10 +189,14 @@ def exception_reason() -> Column:
     return F.when((named == "") & F.col("policy_exception_flag"), RESIDUAL_EXCEPTION).otherwise(named)
 
 
+def exceptional_returns(returns: DataFrame) -> DataFrame:
+    """Returns with at least one flag and their reason; context columns are kept if there are any."""
+    return returns.filter(is_exceptional()).withColumn("exception_reason", exception_reason())
+
+
 def return_policy_exceptions(returns: DataFrame) -> DataFrame:
     """Returns with at least one flag, at full detail."""
-    flagged = returns.filter(is_exceptional())
-    return flagged.select(*EXCEPTION_COLUMNS, exception_reason().alias("exception_reason"))
+    return exceptional_returns(returns).select(*EXCEPTION_COLUMNS, "exception_reason")
 
 
 def employee_return_activity(employees: DataFrame, returns: DataFrame) -> DataFrame:

@@ -78,6 +78,9 @@ class Lanes:
     def mart_exceptions(self) -> DataFrame:
         return marts.return_policy_exceptions(self.back_wide())
 
+    def exceptions_without_context(self) -> DataFrame:
+        return marts.exceptional_returns(self.back_dated())
+
     def mart_employee(self) -> DataFrame:
         return marts.employee_return_activity(self.staged["employees"], self.back())
 
@@ -158,9 +161,9 @@ REPORTS = {
     "report_return_reasons": lambda lanes: reports.return_reasons(lanes.mart_reason()),
     "report_exception_page": lambda lanes: reports.exception_page(lanes.mart_exceptions()),
     "report_exception_filter": lambda lanes: reports.exception_page(lanes.mart_exceptions(), **CHOICES),
-    "report_exception_kpis": lambda lanes: reports.exception_kpis(lanes.mart_exceptions(), **CHOICES),
-    "report_exception_counts": lambda lanes: reports.exception_counts(lanes.mart_exceptions()),
-    "report_exception_types": lambda lanes: reports.exception_types(lanes.mart_exceptions()),
+    "report_exception_kpis": lambda lanes: reports.exception_kpis(lanes.exceptions_without_context(), **CHOICES),
+    "report_exception_counts": lambda lanes: reports.exception_counts(lanes.exceptions_without_context()),
+    "report_exception_types": lambda lanes: reports.exception_types(lanes.exceptions_without_context()),
     "report_filter_choices": lambda lanes: reports.filter_choices(lanes.mart_exceptions(), "store_name"),
     "report_top_employees": lambda lanes: reports.top_employees(lanes.mart_employee()),
     "report_employee_scatter": lambda lanes: reports.employee_scatter(lanes.mart_employee()),

@@ -197,17 +197,15 @@ class RetailTables:
         return self._read("part").selectExpr(*PRODUCT_COLUMNS)
 
     def _stores(self) -> DataFrame:
-        return self._located("supplier", "s_nationkey").selectExpr(*STORE_COLUMNS)
+        regions = self._read("region")
+        located = self._located("supplier", "s_nationkey")
+        return located.join(regions, F.expr("n_regionkey = r_regionkey")).selectExpr(*STORE_COLUMNS)
 
     def _customers(self) -> DataFrame:
         return self._located("customer", "c_nationkey").selectExpr(*CUSTOMER_COLUMNS)
 
     def _located(self, table: str, nation: str) -> DataFrame:
-        return (
-            self._read(table)
-            .join(self._read("nation"), F.expr(f"{nation} = n_nationkey"))
-            .join(self._read("region"), F.expr("n_regionkey = r_regionkey"))
-        )
+        return self._read(table).join(self._read("nation"), F.expr(f"{nation} = n_nationkey"))
 
     def _employees(self) -> DataFrame:
         seats = self._read("lineitem").select("l_suppkey", "l_linenumber").distinct()
