@@ -6,6 +6,7 @@ import pytest
 
 from tillback.domains import DIMENSIONS, TABLES, columns
 from tillback.operators.quality import row_counts
+from tillback.session import TARGET_PARTITION_BYTES, shuffle_partitions
 from tillback.sources.landing import copy_into, list_stage, write_csv
 from tillback.sources.scratch import shared_folder
 from tillback.sources.tables import (
@@ -82,6 +83,11 @@ def test_new_files_are_taken_once(spark, tmp_path):
     assert rows == {"S1": "stores.csv", "S2": "more.csv"}
 
 
+def test_partitions_follow_the_input_size():
+    assert shuffle_partitions(0) == 200
+    assert shuffle_partitions(100 * 10**12) * TARGET_PARTITION_BYTES >= 100 * 10**12
+
+
 def test_names():
     assert layer_schema(None, "raw") == "raw" and layer_schema(" MARTS ", "raw") == "MARTS"
     assert qualified(" db ", "marts", "t_1$") == "DB.MARTS.T_1$"

@@ -24,7 +24,6 @@ def build_session(app_name: str = "tillback", *, input_bytes: int = 0, **conf: s
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes)),
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     settings.update({key.replace("__", "."): str(value) for key, value in conf.items()})
     builder = SparkSession.builder.appName(app_name)
