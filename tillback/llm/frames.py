@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from tillback.sources.scratch import settled
 
 SLICE_BYTES = 2_000_000
+HOME = str(Path(__file__).resolve().parents[2])
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -26,9 +29,18 @@ def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def visible(df: DataFrame) -> DataFrame:
+    """The same frame; Python workers of its session will look for this package where the driver found it."""
+    environment = df.sparkSession.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if HOME not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [HOME, known]))
+    return df
+
+
 def keyed_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only key and text, with a null text read as an empty one."""
-    return docs.select(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias(text))
+    return visible(docs).select(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias(text))
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -8,15 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillback.llm.frames import table
 from tillback.llm.near_dup import NearDup, near_duplicates
+from tillback.llm.packing import packed, packing
+from tillback.llm.substrings import without_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(table(spark, folder, "documents"), packing(), with_ids=False)
+
+
 def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), NearDup(words=4))
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(table(spark, folder, "documents"), with_text=False)
+
+
 QUERIES: dict[str, Query] = {
+    "op6_packing": op6_packing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 STATEMENTS: dict[str, str] = {}
