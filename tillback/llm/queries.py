@@ -9,11 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from tillback.llm.frames import table
 from tillback.llm.near_dup import NearDup, near_duplicates
 from tillback.llm.packing import packed, packing
+from tillback.llm.pii import pii_digest
 from tillback.llm.substrings import without_repeats
+from tillback.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii_digest(table(spark, folder, "documents"))
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(table(spark, folder, "documents"), packing(), with_ids=False)
 
@@ -26,9 +32,15 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(table(spark, folder, "documents"), with_text=False)
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_pii": op2_pii,
     "op6_packing": op6_packing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 STATEMENTS: dict[str, str] = {}
