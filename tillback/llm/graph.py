@@ -1,24 +1,21 @@
 """Connected components and exact linking of bucket members, as DataFrame steps.
 
-Nothing here is collected: the driver sees row counts only. Every round is stored, so a lost
-executor repeats one round at most.
+Nothing here is collected: the driver sees row counts and sums only. Every round is stored, so a
+lost executor repeats one round at most.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillback.llm.frames import stored
 
 MAX_HUB_ROUNDS = 4
 PAIRS_PER_MEMBER = 2
-
-
-def smaller_first(links: DataFrame) -> DataFrame:
-    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
+Verify = Callable[[DataFrame], DataFrame]
 
 
 def components(links: DataFrame, label: str) -> DataFrame:
@@ -27,22 +24,18 @@ def components(links: DataFrame, label: str) -> DataFrame:
     Alternating large-star and small-star steps: every node hooks its larger neighbours, then its
     smaller ones, to the smallest id around it. Groups are reduced to a minimum before they are
     joined back, so a hub with millions of neighbours is never gathered in one task. Ends when a
-    double step changes no link.
+    double step changes no link, which a count and order-free sums of the stored links tell.
     """
-    edges = stored(smaller_first(links), f"{label}-links")
-    seen = _fingerprint(edges)
+    edges, seen = _ordered(links), None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stored(smaller_first(large), f"{label}-large")
+        large = _ordered(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         hooked = large.join(least, "b").select(F.col("a").alias("x"), F.col("b").alias("y"), "m")
-        small = hooked.select(F.col("m").alias("a"), F.col("y").alias("b")).unionByName(
-            hooked.filter("x > m").select(F.col("m").alias("a"), F.col("x").alias("b"))
-        )
-        edges = stored(smaller_first(small), f"{label}-small")
-        now = _fingerprint(edges)
+        small = hooked.select(F.explode(F.array(F.struct("m", F.col("y").alias("b")), F.struct("m", F.col("x").alias("b")))).alias("e"))
+        small = _ordered(small.select(F.col("e.m").alias("a"), F.col("e.b").alias("b")))
+        edges, now = _summed(small, label)
         if now == seen:
             break
         seen = now
@@ -51,56 +44,63 @@ def components(links: DataFrame, label: str) -> DataFrame:
     )
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    """Row count and order-free sums of a link table; equal for equal tables."""
-    mixed = F.xxhash64("a", "b")
-    row = edges.agg(F.count("*"), F.sum(F.shiftright(mixed, 24)), F.bit_xor(mixed)).first()
-    return tuple(row)
+def _ordered(links: DataFrame) -> DataFrame:
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
 
 
-def link_members(
-    members: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str
-) -> DataFrame | None:
-    """Links that join exactly the ids which pairs within common buckets would join.
+def _summed(edges: DataFrame, label: str) -> tuple[DataFrame, dict]:
+    """Stored links, with sums that are equal for equal link tables."""
+    watched, mixed = Observation(), F.xxhash64("a", "b")
+    sums = [F.count(F.lit(1)).alias("n"), F.sum(F.shiftright(mixed, 24)).alias("s"), F.sum(F.shiftright(F.xxhash64(mixed), 24)).alias("t")]
+    kept = stored(edges.observe(watched, *sums), f"{label}-stars")
+    return kept, watched.get
 
-    ``members`` holds (key, id): ids of one key are candidates for each other. ``verify`` keeps the
-    true links of a frame of (a, b). In each round every bucket compares one member (its hub) with
-    all members that are not yet connected to it, and then drops the hub; a group of near copies
-    becomes one component after a round or two, and its members are not compared any more. What is
-    left after a few rounds, or earlier if it is little, is compared pair by pair between different
-    components, so no link between components is lost and no group is ever paired with itself.
 
-    Gives (a, b) links, or None when no bucket has two members.
+def linked(members: DataFrame, prepare: Callable[[DataFrame], Verify], label: str) -> DataFrame:
+    """(id, root) of ids that links within common buckets join; ids without a link are left out.
+
+    ``members`` holds (key, id): ids of one key are candidates for each other. ``prepare`` gets the
+    ids that share a bucket and gives a function that keeps the true links of a frame of (a, b).
+
+    In each round every bucket compares one member (its hub) with all members that are not yet
+    connected to it, and then drops the hub; a group of near copies becomes one component after a
+    round or two, and its members are not compared any more. What is left after a few rounds, or
+    earlier if it is little, is compared pair by pair between different components: no link between
+    components is lost, and no group is ever paired with itself.
     """
-    state = members.withColumn("comp", F.col("id"))
-    links = None
+    state = stored(_open_buckets(members.withColumn("comp", F.col("id"))), f"{label}-open")
+    verify = prepare(state.select("id").distinct())
+    links, rooted = None, None
     for step in range(MAX_HUB_ROUNDS + 1):
-        state = stored(_unsettled(state), f"{label}-open")
-        if state.isEmpty():
-            break
-        sizes = state.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own")
-        ).agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), F.sum("n").alias("rows")).first()
-        last = step == MAX_HUB_ROUNDS or sizes["pairs"] <= PAIRS_PER_MEMBER * sizes["rows"]
-        found = stored(verify(_pairs_between(state) if last else _pairs_with_hub(state)), f"{label}-found")
-        links = found if links is None else links.unionByName(found)
+        if step:
+            rest = state.join(_hubs(state), "key").filter("id <> hub").drop("hub", "hub_comp", "comp")
+            rest = rest.join(rooted, "id", "left").select("key", "id", F.coalesce("root", "id").alias("comp"))
+            state = stored(_open_buckets(rest), f"{label}-open")
+        pairs, rows = _left_to_compare(state)
+        last = step == MAX_HUB_ROUNDS or pairs <= PAIRS_PER_MEMBER * rows
+        if rows:
+            found = stored(verify(_pairs_between(state) if last else _pairs_with_hub(state)), f"{label}-found")
+            links = found if links is None else links.unionByName(found)
+            rooted = components(links, label)
         if last:
             break
-        rooted = components(links, f"{label}-part")
-        rest = state.join(_hubs(state), "key").filter("id <> hub").drop("hub", "hub_comp", "comp")
-        state = rest.join(rooted, "id", "left").select("key", "id", F.coalesce("root", "id").alias("comp"))
-    return links
+    if rooted is None:
+        return members.select("id", F.col("id").alias("root")).filter(F.lit(False))
+    return rooted
 
 
-def open_members(members: DataFrame) -> DataFrame:
-    """The (key, id) rows whose key has more than one id."""
-    return _unsettled(members.withColumn("comp", F.col("id"))).select("key", "id")
+def _left_to_compare(state: DataFrame) -> tuple[int, int]:
+    """Pairs between different components of a bucket, and members, over all buckets."""
+    row = state.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n").cast("double") * F.col("n")).alias("own")
+    ).agg(F.sum((F.col("n").cast("double") * F.col("n") - F.col("own")) / 2).alias("pairs"), F.sum("n").alias("rows")).first()
+    return row["pairs"] or 0, row["rows"] or 0
 
 
-def _unsettled(state: DataFrame) -> DataFrame:
-    """Members of buckets that still hold more than one component."""
-    open_keys = state.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    return state.join(open_keys.select("key").hint("shuffle_hash"), "key", "left_semi")
+def _open_buckets(state: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component."""
+    keys = state.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+    return state.join(keys.select("key").hint("shuffle_hash"), "key", "left_semi")
 
 
 def _hubs(state: DataFrame) -> DataFrame:

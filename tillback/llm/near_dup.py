@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillback.llm.frames import by_slices, keyed_texts, lists, stored
-from tillback.llm.graph import components, link_members, open_members
+from tillback.llm.graph import linked
 from tillback.llm.words import U64, Words, constants, mixed
 
 
@@ -135,18 +135,16 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     classes = stored(usable.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep")), "near-classes")
     reps = described.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     members = reps.filter("n_shingles > 0").select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
-    members = stored(open_members(members), "near-members")
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(p), "id bigint, shingles array<bigint>")
-    sets = stored(sets, "near-sets")
-    links = link_members(members, lambda pairs: confirmed(pairs, sets, p.percent), "near")
+
+    def prepare(ids: DataFrame):
+        wanted = texts.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+        sets = stored(wanted.mapInArrow(_sets(p), "id bigint, shingles array<bigint>"), "near-sets")
+        return lambda pairs: confirmed(pairs, sets, p.percent)
+
+    rooted = linked(members, prepare, "near").select(F.col("id").alias("rep"), "root")
     named = described.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2", "n_shingles"], "left")
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).otherwise(F.col("doc_id"))
     named = named.select("doc_id", "n_shingles", own.alias("rep"))
-    if links is None:
-        component = named.withColumn("component_id", F.col("rep"))
-    else:
-        rooted = components(links, "near-all").select(F.col("id").alias("rep"), "root")
-        component = named.join(rooted, "rep", "left").withColumn("component_id", F.coalesce("root", "rep"))
+    component = named.join(rooted, "rep", "left").withColumn("component_id", F.coalesce("root", "rep"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     return component.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))

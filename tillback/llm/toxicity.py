@@ -45,7 +45,7 @@ class Toxicity:
     max_evidence: int = 50_000
     doubt: float = 4.0
     known: int = 8
-    deviations: float = 7.0
+    deviations: float = 8.5
     least: float = 0.5
     floor: float = 0.01
     heads: tuple[int, ...] = (6, 5, 4)
@@ -88,7 +88,7 @@ def odd_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         single, gap = letter | sign, GAP[data]
         # a sign just before a letter, or single characters kept apart
         odd[1:-1] += sign[:-1] & letter[1:]
-        odd[1:-4] += single[:-4] & gap[1:-3] & single[2:-2] & gap[3:-1] & single[4:]
+        odd[1:-4] += ~single[:-4] & single[1:-3] & gap[2:-2] & single[3:-1] & ~single[4:]
         again[1:-2] += letter[:-2] & (data[:-2] | 32 == data[1:-1] | 32) & (data[1:-1] | 32 == data[2:] | 32)
     sums, repeats = np.cumsum(odd)[offsets], np.cumsum(again)[offsets]
     return np.diff(sums) > 0, np.diff(repeats) > 0
