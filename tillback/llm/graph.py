@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tillback.llm.frames import stored
 
-MAX_HUB_ROUNDS = 4
-PAIRS_PER_MEMBER = 2
-Verify = Callable[[DataFrame], DataFrame]
+MAX_HUB_ROUNDS = 3
+PAIRS_PER_MEMBER = 6
 
 
 def components(links: DataFrame, label: str) -> DataFrame:
@@ -56,40 +55,105 @@ def _summed(edges: DataFrame, label: str) -> tuple[DataFrame, dict]:
     return kept, watched.get
 
 
-def linked(members: DataFrame, prepare: Callable[[DataFrame], Verify], label: str) -> DataFrame:
+def linked(members: DataFrame, prepare: Callable[[DataFrame], DataFrame], percent: int, label: str) -> DataFrame:
     """(id, root) of ids that links within common buckets join; ids without a link are left out.
 
     ``members`` holds (key, id): ids of one key are candidates for each other. ``prepare`` gets the
-    ids that share a bucket and gives a function that keeps the true links of a frame of (a, b).
-
-    In each round every bucket compares one member (its hub) with all members that are not yet
-    connected to it, and then drops the hub; a group of near copies becomes one component after a
-    round or two, and its members are not compared any more. What is left after a few rounds, or
-    earlier if it is little, is compared pair by pair between different components: no link between
-    components is lost, and no group is ever paired with itself.
+    ids that share a bucket and gives their sets (id, shingles). Two ids are linked when their sets
+    have a Jaccard similarity of at least ``percent`` / 100.
+
+    Buckets are not paired with themselves. A round compares each bucket's members with one hub (the
+    member that most others meet). Those linked to it are one component. Of the others every further
+    link needs elements outside the hub: if x and y are linked and y is not linked to the hub, they
+    share more elements than y has in common with the hub. So the bucket is replaced by one bucket
+    for each element outside the hub, and y needs only as many of its rarest elements there as prefix
+    filtering asks for. A large group of near copies of one text falls into small buckets of texts with the
+    same change. When what is left is little, its pairs from different components are compared. No
+    link between components is lost.
     """
     state = stored(_open_buckets(members.withColumn("comp", F.col("id"))), f"{label}-open")
-    verify = prepare(state.select("id").distinct())
-    links, rooted = None, None
+    sets = prepare(state.select("id").distinct())
+    links, rooted, extra, bound = None, None, None, None
     for step in range(MAX_HUB_ROUNDS + 1):
-        if step:
-            rest = state.join(_hubs(state), "key").filter("id <> hub").drop("hub", "hub_comp", "comp")
-            rest = rest.join(rooted, "id", "left").select("key", "id", F.coalesce("root", "id").alias("comp"))
-            state = stored(_open_buckets(rest), f"{label}-open")
         pairs, rows = _left_to_compare(state)
-        last = step == MAX_HUB_ROUNDS or pairs <= PAIRS_PER_MEMBER * rows
-        if rows:
-            found = stored(verify(_pairs_between(state) if last else _pairs_with_hub(state)), f"{label}-found")
-            links = found if links is None else links.unionByName(found)
-            rooted = components(links, label)
+        bound = PAIRS_PER_MEMBER * rows if bound is None else bound
+        last = step == MAX_HUB_ROUNDS or pairs <= bound
         if last:
-            break
-    if rooted is None:
-        return members.select("id", F.col("id").alias("root")).filter(F.lit(False))
-    return rooted
+            asked = _pairs_between(state)
+            asked = asked if extra is None else asked.unionByName(extra).distinct()
+            found = stored(confirmed(asked, sets, percent), f"{label}-found")
+        else:
+            compared = stored(_with_hubs(state, sets, percent), f"{label}-hubs")
+            found = compared.filter("linked").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+            more = _smaller_partners(compared)
+            extra = more if extra is None else extra.unionByName(more)
+        links = found if links is None else links.unionByName(found)
+        rooted = components(links, label)
+        if last:
+            return rooted
+        state = stored(_open_buckets(_finer(compared, rooted, step)), f"{label}-open")
+
+
+def least_common(percent: int, sizes: Column) -> Column:
+    """Smallest intersection of two linked sets whose sizes add up to ``sizes``."""
+    return F.ceil(percent * sizes / (100 + percent)).cast("int")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sets have a Jaccard similarity of at least ``percent`` / 100."""
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+    joined = pairs.join(left, "a").join(right, "b")
+    joined = joined.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"), (F.size("sa") + F.size("sb")).alias("total"))
+    return joined.filter((100 + percent) * F.col("common") >= percent * F.col("total")).select("a", "b")
+
 
+def _with_hubs(state: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Every member of a bucket next to the bucket's hub: are they linked, and what lies outside the hub?
 
-def _left_to_compare(state: DataFrame) -> tuple[int, int]:
+    Any further link of the member must hit one of ``take`` elements outside the hub, whatever their
+    order. ``wide`` marks members for which that holds only for partners no smaller than the hub.
+    """
+    sized = state.join(sets.select("id", F.size("shingles").alias("n")), "id")
+    counts = sized.groupBy("key").agg(F.count("*").alias("members"), F.min("n").alias("least"))
+    counted = state.select("key", "id").join(counts, "key")
+    known = counted.groupBy("id").agg(F.sum("members").alias("known"))
+    best = counted.join(known, "id").groupBy("key", "least").agg(F.max(F.struct("known", (-F.col("id")).alias("less"))).alias("h"))
+    hubs = best.select("key", "least", (-F.col("h.less")).alias("hub"))
+    pairs = state.select("key", "id").join(hubs, "key").filter("id <> hub").groupBy("hub", "id").agg(F.min("least").alias("least"))
+    joined = pairs.join(sets.select(F.col("id").alias("hub"), F.col("shingles").alias("sh")), "hub").join(sets, "id")
+    joined = joined.select(
+        "hub", "id", "least", F.size("shingles").alias("n"), F.size("sh").alias("m"),
+        F.array_except("shingles", "sh").alias("rest"),
+    ).withColumn("common", F.col("n") - F.size("rest"))
+    needed = least_common(percent, F.col("n") + F.col("m")) - F.col("common")
+    needed_least = least_common(percent, F.col("n") + F.col("least")) - F.col("common")
+    joined = joined.withColumns({"linked": needed <= 0, "wide": (needed > 0) & (needed_least <= 0)})
+    missing = F.when(F.col("linked"), 1).otherwise(F.when(F.col("wide"), needed).otherwise(needed_least))
+    take = F.greatest(F.size("rest") - missing + 1, F.lit(0))
+    return joined.select("hub", "id", "n", "m", "linked", "wide", "rest", take.alias("take"))
+
+
+def _finer(compared: DataFrame, rooted: DataFrame, step: int) -> DataFrame:
+    """(key, id, comp) of the buckets that take the place of each hub's members: one per rare element."""
+    named = compared.select(F.col("hub").alias("key"), "id").join(rooted, "id", "left")
+    left = _open_buckets(named.select("key", "id", F.coalesce("root", "id").alias("comp"))).withColumnRenamed("key", "hub")
+    tokens = compared.join(left, ["hub", "id"]).select("hub", "id", "comp", "take", F.explode("rest").alias("token"))
+    shared = F.count("*").over(Window.partitionBy("hub", "token"))
+    order = F.row_number().over(Window.partitionBy("hub", "id").orderBy("shared", "token"))
+    prefix = tokens.withColumn("shared", shared).withColumn("place", order).filter("place <= take and shared > 1")
+    return prefix.select(F.xxhash64(F.lit(step), "hub", "token").alias("key"), "id", "comp")
+
+
+def _smaller_partners(compared: DataFrame) -> DataFrame:
+    """Pairs of wide members with members of the same hub that are smaller than the hub."""
+    wide = compared.filter("wide").select("hub", F.col("id").alias("one"))
+    small = compared.filter("n < m").select("hub", "id")
+    met = wide.join(small, "hub").filter("one <> id")
+    return met.select(F.least("one", "id").alias("a"), F.greatest("one", "id").alias("b")).distinct()
+
+
+def _left_to_compare(state: DataFrame) -> tuple[float, int]:
     """Pairs between different components of a bucket, and members, over all buckets."""
     row = state.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(
         F.sum("n").alias("n"), F.sum(F.col("n").cast("double") * F.col("n")).alias("own")
@@ -103,17 +167,6 @@ def _open_buckets(state: DataFrame) -> DataFrame:
     return state.join(keys.select("key").hint("shuffle_hash"), "key", "left_semi")
 
 
-def _hubs(state: DataFrame) -> DataFrame:
-    """One member of each bucket, always the smallest id, so that buckets share their hubs."""
-    hub = F.min(F.struct("id", "comp"))
-    return state.groupBy("key").agg(hub.alias("h")).select("key", F.col("h.id").alias("hub"), F.col("h.comp").alias("hub_comp"))
-
-
-def _pairs_with_hub(state: DataFrame) -> DataFrame:
-    paired = state.join(_hubs(state), "key").filter("comp <> hub_comp")
-    return paired.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-
-
 def _pairs_between(state: DataFrame) -> DataFrame:
     """All pairs of a bucket that lie in different components, but none within the largest component.
 
@@ -125,5 +178,6 @@ def _pairs_between(state: DataFrame) -> DataFrame:
     outside = state.join(largest, "key").filter("comp <> main").select(
         "key", F.col("id").alias("one"), F.col("comp").alias("one_comp"), "main"
     )
-    met = outside.join(state, "key").filter("comp <> one_comp and (comp = main or one < id)")
+    same = (F.col("one_comp") != F.col("comp")) & ((F.col("comp") == F.col("main")) | (F.col("one") < F.col("id")))
+    met = outside.join(state.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & same)
     return met.select(F.least("one", "id").alias("a"), F.greatest("one", "id").alias("b")).distinct()

@@ -116,15 +116,6 @@ def _sets(p: NearDup):
     return by_slices(work)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sets have a Jaccard similarity of at least ``percent`` / 100."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", common.alias("common"), (F.size("sa") + F.size("sb")).alias("total"))
-    return joined.filter(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b")
-
-
 def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text)."""
     texts = keyed_texts(docs)
@@ -136,12 +127,11 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     reps = described.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     members = reps.filter("n_shingles > 0").select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
 
-    def prepare(ids: DataFrame):
-        wanted = texts.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-        sets = stored(wanted.mapInArrow(_sets(p), "id bigint, shingles array<bigint>"), "near-sets")
-        return lambda pairs: confirmed(pairs, sets, p.percent)
+    def prepare(ids: DataFrame) -> DataFrame:
+        wanted = texts.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        return stored(wanted.mapInArrow(_sets(p), "id bigint, shingles array<bigint>"), "near-sets")
 
-    rooted = linked(members, prepare, "near").select(F.col("id").alias("rep"), "root")
+    rooted = linked(members, prepare, p.percent, "near").select(F.col("id").alias("rep"), "root")
     named = described.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2", "n_shingles"], "left")
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).otherwise(F.col("doc_id"))
     named = named.select("doc_id", "n_shingles", own.alias("rep"))
