@@ -8,7 +8,7 @@ full windows around the anchor are hashed, and a window counts as repeated when
 another place. Equal windows always share an anchor, so none is missed.
 
 Within a slice of texts equal anchors (and windows) are combined before the shuffle: a passage that
-stands in a third of all documents sends one counted row per slice, and its other places travel
+stands in a third of all documents sends one marked row per slice, and its other places travel
 under keys of their own.
 
 Defined results: a null text is an empty one and has no words. Windows are judged on the input.
@@ -33,12 +33,13 @@ PERIOD = 21
 COVER = (0, 1, 4, 14, 16)
 IN_COVER = np.isin(np.arange(PERIOD), COVER)
 
-PLACES = "h bigint, doc_id bigint, t int, pos int, n int"
+PLACES = "h bigint, doc_id bigint, place bigint"
+TEXT_BITS = 30  # of a text's hash, which tells rows of one id apart; below it: found twice, position
 
 
 def places(part: pa.RecordBatch, rows: np.ndarray, pos: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
-    """One counted row for each hash of a slice; further places of a hash get keys of their own."""
-    keys, n = hashes.copy(), np.ones(len(hashes), np.int32)
+    """One row for each hash of a slice, marked if it stands there twice; further places of a hash get keys of their own."""
+    keys, twice = hashes.copy(), np.zeros(len(hashes), bool)
     if len(hashes):
         order = np.argsort(hashes, kind="stable")
         ordered = hashes[order]
@@ -47,14 +48,14 @@ def places(part: pa.RecordBatch, rows: np.ndarray, pos: np.ndarray, hashes: np.n
         firsts = order[begins]
         more = np.ones(len(hashes), bool)
         more[firsts] = False
-        n[firsts] = counts
-        n[more] = 2
+        twice[firsts] = counts > 1
+        twice[more] = True
         own = mixed(rows[more].astype(U64) << U64(40) ^ pos[more].astype(U64)) * U64(2) + constants(1, 31)
         keys[more] = mixed(hashes[more] + own)
-    take = pa.array(rows)
+    texts = part.column("t").to_numpy(zero_copy_only=False).astype(np.int64)[rows]
     return pa.record_batch({
-        "h": keys.view(np.int64), "doc_id": part.column("doc_id").take(take), "t": part.column("t").take(take),
-        "pos": pos.astype(np.int32), "n": n,
+        "h": keys.view(np.int64), "doc_id": part.column("doc_id").take(pa.array(rows)),
+        "place": texts << 33 | twice.astype(np.int64) << 32 | pos,
     })
 
 
@@ -120,9 +121,10 @@ def _without(window: int, with_text: bool):
 
 def _repeated(found: DataFrame) -> DataFrame:
     """Positions per row of the table whose key occurs at another place as well."""
-    total = F.sum("n").over(Window.partitionBy("h"))
-    twice = found.withColumn("total", total).filter("total > 1")
-    return twice.groupBy("doc_id", "t").agg(F.collect_list("pos").alias("hits"))
+    places_of = F.count("*").over(Window.partitionBy("h"))
+    twice = found.withColumn("places", places_of).filter("places > 1 or (place & 4294967296) <> 0")
+    named = twice.select("doc_id", F.shiftright("place", 33).cast("int").alias("t"), F.expr("cast(place & 4294967295 as int)").alias("pos"))
+    return named.groupBy("doc_id", "t").agg(F.collect_list("pos").alias("hits"))
 
 
 def _beside(texts: DataFrame, hits: DataFrame, how: str) -> DataFrame:
@@ -135,7 +137,7 @@ def without_repeats(docs: DataFrame, window: int = 35, *, with_text: bool = True
     """doc_id, n_words, n_removed, kept_sha256 and kept_text for every row of ``docs`` (doc_id, text)."""
     if window < PERIOD:
         raise ValueError(f"a window has at least {PERIOD} words")
-    texts = keyed_texts(docs).withColumn("t", F.hash("text"))
+    texts = keyed_texts(docs).withColumn("t", F.hash("text").bitwiseAND((1 << TEXT_BITS) - 1))
     hits = _repeated(texts.mapInArrow(_anchors(window), PLACES))
     starts = _repeated(_beside(texts, hits, "inner").mapInArrow(_extended(window), PLACES))
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + (", kept_text string" if with_text else "")
