@@ -12,6 +12,7 @@ from tillback.llm.frames import table
 from tillback.llm.line_dedup import line_report
 from tillback.llm.near_dup import NearDup, near_duplicates
 from tillback.llm.packing import packed, packing
+from tillback.llm.pieces import round_trip
 from tillback.llm.pii import pii_digest
 from tillback.llm.quality import quality
 from tillback.llm.search import top_k
@@ -33,6 +34,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality(table(spark, folder, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(table(spark, folder, "documents"))
+
+
 def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, and one (-1) whose texts hold control strings."""
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -65,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_pii": op2_pii,
     "op3_quality_rules": op3_quality_rules,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_packing": op6_packing,
     "op7_exact_top_k": op7_exact_top_k,
