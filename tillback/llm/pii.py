@@ -299,9 +299,12 @@ def trained(rounds: int = 150, rate: float = 0.5, decay: float = 0.01) -> tuple[
 TRIMMED = np.zeros(256, bool)
 TRIMMED[[ord(c) for c in ".,;:!?\"'"]] = True
 
+CLOSING = np.zeros(256, bool)
+CLOSING[[ord(c) for c in ",;:!?"]] = True
+
 
 def crf_spans(column: pa.Array, model) -> list[tuple[int, int, str, int]]:
-    """(row, start, kind, end) of the CRF's spans: neighbouring words of one kind, without edge punctuation."""
+    """(row, start, kind, end) of the CRF's spans: neighbouring words of one kind, up to a closing sign, without edge punctuation."""
     weights, step, edge = model
     words = Words(column, hashed=False)
     chosen = active_words(words)
@@ -313,7 +316,8 @@ def crf_spans(column: pa.Array, model) -> list[tuple[int, int, str, int]]:
         return []
     opens = np.zeros(len(chosen), bool)
     opens[begins] = True
-    joined = (np.diff(named) == 1) & (labels[named[1:]] == labels[named[:-1]]) & ~opens[named[1:]]
+    closed = CLOSING[words.data[words.ends[chosen[named[:-1]]] - 1]]
+    joined = (np.diff(named) == 1) & (labels[named[1:]] == labels[named[:-1]]) & ~opens[named[1:]] & ~closed
     heads = np.flatnonzero(np.concatenate([[True], ~joined]))
     tails = np.append(heads[1:], len(named)) - 1
     points = np.cumsum((words.data & 0xC0) != 0x80)  # code points up to and with each byte

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillback.llm.frames import by_slices, keyed_texts, slices, stored, text_bytes, visible
-from tillback.llm.words import Words
+from tillback.llm.words import Words, constants, mixed
 
 
 @dataclass(frozen=True)
@@ -200,7 +200,9 @@ def evidence(docs: DataFrame, labels: DataFrame, model: np.ndarray, p: Toxicity)
         keys = np.zeros(part.num_rows, np.uint64)
         full = np.diff(words.first) > 0
         if full.any():
-            keys[full] = np.minimum.reduceat(words.hashes, words.first[:-1][full])
+            begins = words.first[:-1][full]
+            two = [np.minimum.reduceat(mixed(words.hashes ^ salt), begins) for salt in constants(2, 41)]
+            keys[full] = mixed(two[0] ^ two[1] << np.uint64(1))
         return pa.record_batch({"key": keys.view(np.int64), "toxic": part.column("toxic"), "doc_id": part.column("doc_id"), "text": part.column("text")})
 
     keyed = texts.select("doc_id", "text", "toxic").mapInArrow(by_slices(with_key), "key bigint, toxic int, doc_id bigint, text string")
