@@ -305,10 +305,6 @@ def operators() -> dict[str, str]:
         "temp_view_query": strict("""
             select store_region, count(*) as stores, cast(sum(total_returns) as bigint) as total_returns
             from mart_store group by 1"""),
-        "synth_invariants": derived(" union all ".join(
-            f"select '{t}' as table_name, count(*) as row_count, count(*) as distinct_keys, "
-            f"cast(0 as bigint) as violations from {t}"
-            for t in ("products", "stores", "customers", "employees", "sales", "returns"))),
         "weighted_sample": derived(
             "select count(*) // 10 as sampled, count(*) // 10 as distinct_sales from sales"),
         "copy_into_incremental": derived("select *, true as load_metadata_present from returns"),

@@ -6,7 +6,7 @@ import pytest
 
 from tillback.domains import DIMENSIONS, TABLES, columns
 from tillback.operators.quality import row_counts
-from tillback.session import TARGET_PARTITION_BYTES, shuffle_partitions
+from tillback.session import MAX_SHUFFLE_BLOCKS, shuffle_partitions, split_bytes
 from tillback.sources.landing import copy_into, list_stage, write_csv
 from tillback.sources.scratch import shared_folder
 from tillback.sources.tables import (
@@ -85,7 +85,10 @@ def test_new_files_are_taken_once(spark, tmp_path):
 
 def test_partitions_follow_the_input_size():
     assert shuffle_partitions(0) == 200
-    assert shuffle_partitions(100 * 10**12) * TARGET_PARTITION_BYTES >= 100 * 10**12
+    for size in (10**12, 10**14, 10**15):
+        tasks = size // split_bytes(size)
+        assert shuffle_partitions(size, size) * tasks <= MAX_SHUFFLE_BLOCKS
+        assert shuffle_partitions(size) <= shuffle_partitions(size, size)
 
 
 def test_names():

@@ -7,8 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import by
+from tillback.domains import TABLES
 from tillback.functions.measures import count_rate
-from tillback.plans import marts
+from tillback.plans.pipeline import MART_PLANS, Store, build_strict
+from tillback.registry import Lanes
+from tillback.plans import marts, reports
 from tillback.plans.intermediate import (
     int_returns_enriched, int_sales_enriched, int_sales_returns_joined, return_flags, return_timing, sale_measures,
 )
@@ -98,15 +101,10 @@ def test_repeated_dimension_key_repeats_the_fact(raw):
     assert sales.count() == 2
 
 
-def test_narrow_and_wide_joined_agree(raw):
+def test_joined_rows(raw):
     returns_in = [{}, {"return_id": "R2", "product_id": "P2"}, {"return_id": "R3", "return_date": "2024-03-01"}]
-    staged = tables(raw, [{}, {"sale_id": "SL2"}], returns_in)
     sales, returns = enriched(raw, [{}, {"sale_id": "SL2"}], returns_in)
     wide = int_sales_returns_joined(sales, returns)
-    late = int_sales_returns_joined(
-        sale_measures(staged["sales"]), return_timing(return_flags(staged["returns"]), staged["sales"]), staged
-    )
-    assert sorted(wide.collect()) == sorted(late.select(*wide.columns).collect())
     row = by(wide, "sale_id")["SL1"]
     assert (row.return_count, row.units_returned, row.returned_flag) == (2, 2, True)
     assert row.late_return_flag is True and row.unit_return_rate == Decimal("1.0000")
@@ -199,3 +197,43 @@ def test_unusual_employee(raw, count, unusual):
     activity = by(marts.employee_return_activity(raw("employees", *employees), returns), "employee_id")
     assert activity["E1"].unusual_return_activity_flag is unusual
     assert activity["E2"].average_return_amount == 0 and activity["E2"].unusual_return_activity_flag is False
+
+
+def lanes_over(spark, raw_tables):
+    lanes = Lanes.__new__(Lanes)
+    lanes.spark, lanes.raw, lanes.staged = spark, raw_tables, Staged(raw_tables)
+    return lanes
+
+
+@pytest.mark.parametrize("table", ["stores", "products", "customers", "employees", "sales"])
+def test_registered_marts_repeat_facts_like_the_stored_build(spark, raw, table):
+    """A key that is listed twice repeats its facts, in the registered queries as in a whole-lane build."""
+    tables_in = {name: raw(name, *([{}, {}] if name == table else [{}])) for name in TABLES}
+    lanes = lanes_over(spark, tables_in)
+    day = by(lanes.mart("mart_daily_sales_returns_summary"), "calendar_date")
+    assert day[dt.date(2024, 1, 1)].total_sales == 2
+    assert day[dt.date(2024, 1, 11)].total_returns == 2
+    assert day[dt.date(2024, 1, 11)].total_return_amount == Decimal("19.00")
+    schema = f"repeated_{table}"
+    try:
+        built = build_strict(Store(spark), tables_in, schema)
+        for name in MART_PLANS:
+            assert sorted(map(str, lanes.mart(name).collect())) == sorted(map(str, built[name].collect())), name
+    finally:
+        spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
+
+
+def test_page_is_cut_before_context(spark, raw):
+    rows = [{"return_id": f"R{k}", "receipt_present": "false", "return_date": f"2024-01-{10 + k % 20}"} for k in range(30)]
+    tables_in = {name: raw(name, {}) for name in TABLES} | {"returns": raw("returns", *rows), "stores": raw("stores", {}, {})}
+    lanes = lanes_over(spark, tables_in)
+    whole = reports.exception_page(lanes.mart("mart_return_policy_exceptions"))
+    assert lanes.exception_page().collect() == whole.collect()
+    chosen = {"stores": ["North"], "types": ["no_receipt"]}
+    assert lanes.exception_page(**chosen).collect() == reports.exception_page(lanes.mart("mart_return_policy_exceptions"), **chosen).collect()
+    assert lanes.exception_page(stores=["South"]).collect() == []
+
+
+def test_reports_show_the_whole_table_when_a_column_is_missing(spark, raw):
+    table = spark.createDataFrame([("S1", 1.0, 2.0)], "store_id string, return_rate double, total_return_amount double")
+    assert reports.store_table(table).columns == table.columns

@@ -69,21 +69,6 @@ RETURN_REASONS = [
     "changed_mind", "wrong_size", "defective", "damaged", "not_as_described",
     "duplicate_purchase", "late_delivery", "other",
 ]
-ITEM_CONDITIONS = ["unopened", "opened", "damaged", "defective", "missing_packaging"]
-STORE_TYPES = ["flagship", "mall", "outlet", "neighbourhood", "warehouse"]
-LOYALTY_TIERS = ["none", "bronze", "silver", "gold", "platinum"]
-EMPLOYEE_ROLES = [
-    "sales_associate", "cashier", "customer_service", "returns_specialist",
-    "stock_associate", "supervisor", "manager",
-]
-PRODUCT_CATALOG = {
-    "apparel": ["tops", "bottoms", "outerwear", "footwear", "accessories"],
-    "electronics": ["mobile_accessories", "audio", "computers", "smart_home", "gaming"],
-    "home": ["kitchen", "bedding", "decor", "storage", "cleaning"],
-    "beauty": ["skincare", "haircare", "fragrance", "makeup", "personal_care"],
-    "grocery": ["pantry", "snacks", "beverages", "household", "pet"],
-    "sporting_goods": ["fitness", "outdoor", "team_sports", "cycling", "winter_sports"],
-}
 
 # Business thresholds. The two lanes use different high-value limits.
 RETURN_WINDOW_DAYS = 30

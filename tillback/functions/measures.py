@@ -57,10 +57,6 @@ def rounded_sum(column: str) -> Column:
     return F.round(F.sum(column), 2)
 
 
-def count_true(flag: str) -> Column:
-    return F.count_if(F.col(flag))
-
-
 # --- shared -----------------------------------------------------------------------------------
 
 def days_between(start: str, end: str) -> Column:

@@ -1,8 +1,7 @@
-"""Random draws that depend only on (seed, label, key), and choices built on them.
+"""Random draws that depend only on (seed, label, key), and exact samples built on them.
 
 A draw is a hash, so a task that is run again, or a plan partitioned differently, gives the same
-rows. Choices are equi-joins on slots of the cumulated weight: no side is paired with all rows of
-the other, and a member with a large weight is spread over many slots.
+rows.
 """
 
 from __future__ import annotations
@@ -10,11 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-WEIGHT_UNITS = 1_000_000
-MAX_SLOTS = 1_048_576
-BUCKETS = 16_384
 BUCKETS_PER_OCTAVE = 16_384
-EVERYONE = "*"
 
 
 def uniform(seed: int, label: str, key: str) -> str:
@@ -22,93 +17,6 @@ def uniform(seed: int, label: str, key: str) -> str:
     return f"(shiftrightunsigned(xxhash64({seed}L, '{label}', {key}), 11) * 1.1102230246251565E-16D)"
 
 
-def below(seed: int, label: str, key: str, limit: str) -> str:
-    """SQL text of a whole number in [0, limit)."""
-    return f"pmod(xxhash64({seed}L, '{label}', {key}), {limit})"
-
-
-def normal(seed: int, label: str, key: str) -> str:
-    """SQL text of a standard normal number."""
-    radius = f"sqrt(-2 * ln(greatest({uniform(seed, label + ':radius', key)}, 1.0E-18D)))"
-    return f"({radius} * cos(2 * pi() * {uniform(seed, label + ':angle', key)}))"
-
-
-def between(number: str, low: float, high: float) -> str:
-    return f"({low}D + {high - low}D * {number})"
-
-
-def pick(number: str, values: list, weights: list[float]) -> str:
-    """SQL text of the value whose share of the weights covers ``number`` in [0, 1)."""
-    total, reached, branches = sum(weights), 0.0, []
-    for value, weight in zip(values[:-1], weights):
-        reached += weight
-        branches.append(f"when {number} < {reached / total!r}D then {value!r}")
-    return f"case {' '.join(branches)} else {values[-1]!r} end" if branches else repr(values[-1])
-
-
-def cumulated(population: DataFrame, key: str, group: str) -> DataFrame:
-    """Weight range [_lo, _hi) of every member within its group, plus group totals.
-
-    Running sums are made on two levels (hash buckets of a group, then inside a bucket), so that a
-    group with most of the members is not summed by one task.
-    """
-    spread = population.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS)))
-    sizes = spread.groupBy(F.col(group).alias("_g"), F.col("_bucket").alias("_b")).agg(
-        F.sum("_weight").alias("_w"), F.count("*").alias("_n")
-    )
-    by_group = Window.partitionBy("_g")
-    before = by_group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "_g", "_b",
-        F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_start"),
-        F.sum("_w").over(by_group).alias("_total"),
-        F.sum("_n").over(by_group).alias("_members"),
-    )
-    inside = Window.partitionBy(group, "_bucket").orderBy(key)
-    ranged = spread.withColumn("_run", F.sum("_weight").over(inside))
-    joined = ranged.join(starts, (F.col(group) == F.col("_g")) & (F.col("_bucket") == F.col("_b")))
-    return joined.withColumn("_hi", F.col("_start") + F.col("_run")).withColumn("_lo", F.col("_hi") - F.col("_weight"))
-
-
-def choose_weighted(
-    facts: DataFrame, fact_key: str, population: DataFrame, key: str, weight: str, attributes: dict[str, str],
-    *, seed: int, label: str, group: str | None = None, fact_group: str | None = None,
-) -> DataFrame:
-    """Add one member of the population to every fact row, drawn with replacement by weight.
-
-    ``attributes`` maps output names to population columns. With ``group`` the draw is made among
-    the members of the fact's group, and among all members when that group has none.
-    """
-    members = population.withColumn("_weight", F.expr(f"greatest(1, cast(round(({weight}) * {WEIGHT_UNITS}) as bigint))"))
-    everyone = members.withColumn("_group", F.lit(EVERYONE))
-    if group:
-        everyone = everyone.unionByName(members.withColumn("_group", F.col(group)).filter(f"{group} is not null"))
-    ranged = cumulated(everyone, key, "_group").withColumn(
-        "_width", F.expr(f"greatest(1, _total div least(_members, {MAX_SLOTS}))")
-    )
-    sums = everyone.groupBy(F.col("_group").alias("_known")).agg(F.sum("_weight").alias("_of"), F.count("*").alias("_n"))
-    totals = sums.select("_known", "_of", F.expr(f"greatest(1, _of div least(_n, {MAX_SLOTS}))").alias("_step"))
-    if group:
-        wanted = facts.join(totals.filter(F.col("_known") != EVERYONE), F.col(fact_group) == F.col("_known"), "left")
-    else:
-        wanted = facts.withColumns({name: F.lit(None).cast(kind) for name, kind in (("_known", "string"), ("_of", "bigint"), ("_step", "bigint"))})
-    whole = totals.filter(F.col("_known") == EVERYONE).select(F.struct("_of", "_step")).scalar()
-    wanted = wanted.withColumns({
-        "_known": F.coalesce("_known", F.lit(EVERYONE)),
-        "_of": F.coalesce(F.col("_of"), whole["_of"]),
-        "_step": F.coalesce(F.col("_step"), whole["_step"]),
-    }).withColumn("_ticket", F.expr(below(seed, label, fact_key, "_of"))).withColumn("_at", F.expr("_ticket div _step"))
-    slots = ranged.select(
-        F.col("_group").alias("_in"), "_lo", "_hi",
-        *[F.col(source).alias(f"_new_{name}") for name, source in attributes.items()],
-        F.explode(F.expr("sequence(_lo div _width, (_hi - 1) div _width)")).alias("_slot"),
-    )
-    same_slot = (F.col("_known") == F.col("_in")) & (F.col("_at") == F.col("_slot"))
-    inside = (F.col("_lo") <= F.col("_ticket")) & (F.col("_ticket") < F.col("_hi"))
-    chosen = wanted.join(slots, same_slot & inside)
-    return chosen.select(*facts.columns, *[F.col(f"_new_{name}").alias(name) for name in attributes])
-
-
 def sample_exact(df: DataFrame, key: str, count, *, seed: int, label: str, weight: str = "1.0D") -> DataFrame:
     """Exactly ``count`` rows (or all, if fewer) without replacement, drawn by weight.
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillback.functions.measures import count_true, rounded_sum, safe_rate
+from tillback.functions.measures import rounded_sum, safe_rate
 from tillback.operators.joins import attach, full_merge
 from tillback.plans.silver import CLEANED_POLICY
 
@@ -25,11 +25,11 @@ RETURN_METRICS = {
     "units_returned": lambda: F.sum("return_quantity"),
     "return_amount": lambda: rounded_sum("return_amount"),
     "avg_days_until_return": lambda: F.round(F.avg("days_until_return"), 2),
-    "late_return_count": lambda: count_true("late_return_flag"),
-    "no_receipt_return_count": lambda: count_true("no_receipt_flag"),
-    "damaged_or_defective_return_count": lambda: count_true("damaged_or_defective_flag"),
-    "policy_exception_count": lambda: count_true(CLEANED_POLICY),
-    "high_value_return_count": lambda: count_true("high_value_return_flag"),
+    "late_return_count": lambda: F.count_if("late_return_flag"),
+    "no_receipt_return_count": lambda: F.count_if("no_receipt_flag"),
+    "damaged_or_defective_return_count": lambda: F.count_if("damaged_or_defective_flag"),
+    "policy_exception_count": lambda: F.count_if(CLEANED_POLICY),
+    "high_value_return_count": lambda: F.count_if("high_value_return_flag"),
 }
 
 

@@ -1,7 +1,6 @@
 """Strict lane, second layer: measures and flags on both facts, then dimension context.
 
-Measures, flags and context are separate steps. A mart that needs only measures is built on the
-narrow frame and never joins a dimension it does not read.
+Measures, flags and context are separate steps; the models that marts read have all of them.
 """
 
 from __future__ import annotations
@@ -114,16 +113,9 @@ JOINED_CONTEXT = [
 ]
 
 
-def int_sales_returns_joined(sales: DataFrame, returns: DataFrame, dimensions=None) -> DataFrame:
-    """One row per sale line with the totals of its returns.
-
-    ``sales`` may carry its context already (a stored enriched table), or be the narrow measures,
-    in which case ``dimensions`` adds the context after the two facts are joined, so that only
-    narrow rows are shuffled.
-    """
+def int_sales_returns_joined(sales: DataFrame, returns: DataFrame) -> DataFrame:
+    """One row per enriched sale line with the totals of its returns."""
     matched = sales.join(returns_by_sale(returns), on=MATCH_KEYS, how="left")
-    if dimensions is not None:
-        matched = attach_context(matched, dimensions, RETURN_CONTEXT)
     count = or_zero(F.col("return_count"))
     units = or_zero(F.col("units_returned"))
     context = [name for name in JOINED_CONTEXT if name in matched.columns]

@@ -17,7 +17,7 @@ from tillback.functions.labels import (
 from tillback.operators.ranking import top_k
 from tillback.operators.shape import (
     distinct_values, explode_counts, filter_contains_any, filter_isin, normalize_columns,
-    require_columns, split_tokens, unpivot,
+    project_or_all, require_columns, split_tokens, unpivot,
 )
 
 # Ranking lengths and the page size of the exception table.
@@ -70,6 +70,11 @@ def mart_order(mart: str):
     ]
 
 
+def shown(df: DataFrame, wanted: list[str]) -> DataFrame:
+    """The wanted columns, or the whole table when one of them is missing."""
+    return project_or_all(df, wanted)[0]
+
+
 def ordered(mart: str, df: DataFrame) -> DataFrame:
     return normalize_columns(df).orderBy(*mart_order(mart))
 
@@ -96,8 +101,8 @@ def kpis(daily: DataFrame) -> DataFrame:
 
 def daily_trends(daily: DataFrame) -> DataFrame:
     dated = daily.withColumn("calendar_date", F.col("calendar_date").cast("timestamp_ntz"))
-    shown = dated.select("calendar_date", "total_sales_amount", "total_return_amount", "return_rate")
-    return shown.orderBy(*mart_order("daily"))
+    chart = dated.select("calendar_date", "total_sales_amount", "total_return_amount", "return_rate")
+    return chart.orderBy(*mart_order("daily"))
 
 
 def _labelled_products(products: DataFrame) -> DataFrame:
@@ -111,20 +116,20 @@ def _labelled_products(products: DataFrame) -> DataFrame:
 def top_products_by_rate(products: DataFrame) -> DataFrame:
     order = [F.desc("return_rate"), F.desc("total_units_sold"), F.asc("product_id")]
     best = top_k(_labelled_products(products), order, TOP_PRODUCTS)
-    shown = best.select("product_id", "product_label", "return_rate", "total_units_sold")
-    return shown.orderBy("return_rate", "product_id")
+    chart = best.select("product_id", "product_label", "return_rate", "total_units_sold")
+    return chart.orderBy("return_rate", "product_id")
 
 
 def top_products_by_amount(products: DataFrame) -> DataFrame:
     order = [F.desc("total_return_amount"), F.asc("product_id")]
     best = top_k(_labelled_products(products), order, TOP_PRODUCTS)
-    shown = best.select("product_id", "product_label", "total_return_amount")
-    return shown.orderBy("total_return_amount", "product_id")
+    chart = best.select("product_id", "product_label", "total_return_amount")
+    return chart.orderBy("total_return_amount", "product_id")
 
 
 def high_return_products(products: DataFrame) -> DataFrame:
     flagged = _labelled_products(products).filter("high_return_product_flag")
-    return flagged.orderBy(*mart_order("product")).select(*PRODUCT_REQUIRED[:-1])
+    return shown(flagged.orderBy(*mart_order("product")), PRODUCT_REQUIRED[:-1])
 
 
 def store_rates_long(stores: DataFrame) -> DataFrame:
@@ -134,7 +139,7 @@ def store_rates_long(stores: DataFrame) -> DataFrame:
 
 
 def store_table(stores: DataFrame) -> DataFrame:
-    return ordered("store", stores).select(*STORE_SHOWN)
+    return shown(ordered("store", stores), STORE_SHOWN)
 
 
 def return_reasons(reasons: DataFrame) -> DataFrame:
@@ -152,10 +157,14 @@ def filtered_exceptions(
     return filter_contains_any(rows, "exception_reason", types)
 
 
+def first_exceptions(exceptions: DataFrame, rows: int = PAGE_ROWS, **chosen) -> DataFrame:
+    """The first filtered exceptions in mart order, with all their columns."""
+    return top_k(filtered_exceptions(exceptions, **chosen), mart_order("exceptions"), rows)
+
+
 def exception_page(exceptions: DataFrame, rows: int = PAGE_ROWS, **chosen) -> DataFrame:
     """First page of the filtered exceptions in mart order."""
-    page = top_k(filtered_exceptions(exceptions, **chosen), mart_order("exceptions"), rows)
-    return page.select(*EXCEPTION_SHOWN)
+    return shown(first_exceptions(exceptions, rows, **chosen), EXCEPTION_SHOWN)
 
 
 def exception_kpis(exceptions: DataFrame, **chosen) -> DataFrame:
@@ -186,8 +195,8 @@ def _flagged_employees(employees: DataFrame) -> DataFrame:
 def top_employees(employees: DataFrame) -> DataFrame:
     order = [F.desc("total_returns_processed"), F.asc("employee_id")]
     best = top_k(_flagged_employees(employees), order, TOP_EMPLOYEES)
-    shown = best.select("employee_id", "total_returns_processed", "unusual_return_activity_flag")
-    return shown.orderBy("total_returns_processed", "employee_id")
+    chart = best.select("employee_id", "total_returns_processed", "unusual_return_activity_flag")
+    return chart.orderBy("total_returns_processed", "employee_id")
 
 
 def employee_scatter(employees: DataFrame) -> DataFrame:
@@ -199,4 +208,4 @@ def employee_scatter(employees: DataFrame) -> DataFrame:
 
 def unusual_employees(employees: DataFrame) -> DataFrame:
     flagged = _flagged_employees(employees).filter("unusual_return_activity_flag")
-    return flagged.orderBy(*mart_order("employee")).select(*EMPLOYEE_SHOWN)
+    return shown(flagged.orderBy(*mart_order("employee")), EMPLOYEE_SHOWN)

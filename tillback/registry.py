@@ -1,7 +1,8 @@
 """Every named query over one data folder of order tables.
 
-A query builds the raw tables from its folder on each call. Marts run on the narrow facts: no
-dimension is joined that the result does not show.
+A query builds the raw tables from its folder on each call. Every mart has one definition, the one
+that a whole-lane build uses, over the enriched facts: a repeated dimension key or sale id repeats
+fact rows there, as it does in the stored tables.
 """
 
 from __future__ import annotations
@@ -11,16 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillback.domains import PRIMARY_KEYS, TABLES, columns
+from tillback.domains import TABLES, columns
 from tillback.operators.joins import attach, full_merge
 from tillback.operators.quality import row_counts, union_all, unique
 from tillback.operators.ranking import exact_quantile, number_members, top_one
 from tillback.operators.shares import grand_total, read_twice, share_within
 from tillback.operators.sampling import sample_exact
-from tillback.plans import analysis, checks, gold, marts, reports, synth
+from tillback.plans import analysis, checks, gold, marts, reports
 from tillback.plans.intermediate import (
-    int_returns_enriched, int_sales_enriched, int_sales_returns_joined, return_flags, return_timing,
-    sale_measures,
+    RETURN_CONTEXT, attach_context, int_returns_enriched, int_sales_enriched, int_sales_returns_joined,
+    return_flags, return_timing,
 )
 from tillback.plans.pipeline import MART_PLANS
 from tillback.plans.silver import Silver
@@ -32,6 +33,7 @@ from tillback.sources.tables import publish_views
 from tillback.streaming.incremental import copy_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
+SAMPLE_SEED = 42
 
 
 class Lanes:
@@ -44,45 +46,33 @@ class Lanes:
         self.silver = Silver(self.raw)
 
     # strict lane
-    def sold(self) -> DataFrame:
-        return sale_measures(self.staged["sales"])
-
-    def back(self) -> DataFrame:
-        return return_flags(self.staged["returns"])
-
     def sold_wide(self) -> DataFrame:
         return int_sales_enriched(self.staged["sales"], self.staged)
 
     def back_dated(self) -> DataFrame:
-        return return_timing(self.back(), self.staged["sales"])
+        return return_timing(return_flags(self.staged["returns"]), self.staged["sales"])
 
     def back_wide(self) -> DataFrame:
         return int_returns_enriched(self.staged["returns"], self.staged["sales"], self.staged)
 
     def sales_with_returns(self) -> DataFrame:
-        return int_sales_returns_joined(self.sold(), self.back_dated(), self.staged)
-
-    def mart_daily(self) -> DataFrame:
-        return marts.daily_sales_returns_summary(self.sold(), self.back())
-
-    def mart_product(self) -> DataFrame:
-        matched = int_sales_returns_joined(self.sold(), self.back())
-        return marts.return_rate_by_product(self.staged["products"], matched, self.back())
-
-    def mart_store(self) -> DataFrame:
-        return marts.return_rate_by_store(self.staged["stores"], self.sold(), self.back())
+        return int_sales_returns_joined(self.sold_wide(), self.back_wide())
 
-    def mart_reason(self) -> DataFrame:
-        return marts.return_reason_summary(self.back())
+    def mart(self, name: str) -> DataFrame:
+        return MART_PLANS[name](StrictModels(self))
 
-    def mart_exceptions(self) -> DataFrame:
-        return marts.return_policy_exceptions(self.back_wide())
+    def exception_page(self, **chosen) -> DataFrame:
+        """First page of exceptions: context is joined to as many rows as the page has, and cut again.
 
-    def exceptions_without_context(self) -> DataFrame:
-        return marts.exceptional_returns(self.back_dated())
-
-    def mart_employee(self) -> DataFrame:
-        return marts.employee_return_activity(self.staged["employees"], self.back())
+        A left join takes no row away, so the page of the joined rows lies within it.
+        """
+        rows = marts.exceptional_returns(self.back_dated())
+        stores = chosen.pop("stores", None)
+        if stores:
+            named = self.staged["stores"].filter(F.col("store_name").isin(stores))
+            rows = rows.join(named.select("store_id"), "store_id", "left_semi")
+        first = attach_context(reports.first_exceptions(rows, **chosen), self.staged, RETURN_CONTEXT)
+        return reports.exception_page(first, stores=stores)
 
     # lenient lane
     def gold_daily(self) -> DataFrame:
@@ -107,6 +97,22 @@ class Lanes:
         return gold.gold_employee_return_activity(silver["employees"], silver["sales"], silver["returns"])
 
 
+class StrictModels:
+    """Staged and intermediate models of the strict lane by name, as lazy frames."""
+
+    def __init__(self, lanes: Lanes):
+        self._lanes = lanes
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name.startswith("stg_"):
+            return self._lanes.staged[name.removeprefix("stg_")]
+        facts = {
+            "int_sales_enriched": Lanes.sold_wide, "int_returns_enriched": Lanes.back_wide,
+            "int_sales_returns_joined": Lanes.sales_with_returns,
+        }
+        return facts[name](self._lanes)
+
+
 def _on_lanes(build: Callable[[Lanes], DataFrame]) -> Query:
     return lambda spark, folder: build(Lanes(spark, folder))
 
@@ -123,12 +129,7 @@ def _layers() -> dict[str, Callable[[Lanes], DataFrame]]:
 
 
 MARTS = {
-    "mart_daily_sales_returns_summary": Lanes.mart_daily,
-    "mart_return_rate_by_product": Lanes.mart_product,
-    "mart_return_rate_by_store": Lanes.mart_store,
-    "mart_return_reason_summary": Lanes.mart_reason,
-    "mart_return_policy_exceptions": Lanes.mart_exceptions,
-    "mart_employee_return_activity": Lanes.mart_employee,
+    **{name: lambda lanes, name=name: lanes.mart(name) for name in MART_PLANS},
     "gold_daily_sales_returns_summary": Lanes.gold_daily,
     "gold_return_rate_by_product": Lanes.gold_product,
     "gold_return_rate_by_store": Lanes.gold_store,
@@ -151,23 +152,23 @@ ANALYSIS = {
 CHOICES = {"reasons": ["damaged", "wrong_size"], "types": ["late_return", "high_value_return"]}
 
 REPORTS = {
-    "report_kpis": lambda lanes: reports.kpis(lanes.mart_daily()),
-    "report_daily_trends": lambda lanes: reports.daily_trends(lanes.mart_daily()),
-    "report_top_products_by_rate": lambda lanes: reports.top_products_by_rate(lanes.mart_product()),
-    "report_top_products_by_amount": lambda lanes: reports.top_products_by_amount(lanes.mart_product()),
-    "report_high_return_products": lambda lanes: reports.high_return_products(lanes.mart_product()),
-    "report_store_rates_long": lambda lanes: reports.store_rates_long(lanes.mart_store()),
-    "report_store_table": lambda lanes: reports.store_table(lanes.mart_store()),
-    "report_return_reasons": lambda lanes: reports.return_reasons(lanes.mart_reason()),
-    "report_exception_page": lambda lanes: reports.exception_page(lanes.mart_exceptions()),
-    "report_exception_filter": lambda lanes: reports.exception_page(lanes.mart_exceptions(), **CHOICES),
-    "report_exception_kpis": lambda lanes: reports.exception_kpis(lanes.exceptions_without_context(), **CHOICES),
-    "report_exception_counts": lambda lanes: reports.exception_counts(lanes.exceptions_without_context()),
-    "report_exception_types": lambda lanes: reports.exception_types(lanes.exceptions_without_context()),
-    "report_filter_choices": lambda lanes: reports.filter_choices(lanes.mart_exceptions(), "store_name"),
-    "report_top_employees": lambda lanes: reports.top_employees(lanes.mart_employee()),
-    "report_employee_scatter": lambda lanes: reports.employee_scatter(lanes.mart_employee()),
-    "report_unusual_employees": lambda lanes: reports.unusual_employees(lanes.mart_employee()),
+    "report_kpis": lambda lanes: reports.kpis(lanes.mart("mart_daily_sales_returns_summary")),
+    "report_daily_trends": lambda lanes: reports.daily_trends(lanes.mart("mart_daily_sales_returns_summary")),
+    "report_top_products_by_rate": lambda lanes: reports.top_products_by_rate(lanes.mart("mart_return_rate_by_product")),
+    "report_top_products_by_amount": lambda lanes: reports.top_products_by_amount(lanes.mart("mart_return_rate_by_product")),
+    "report_high_return_products": lambda lanes: reports.high_return_products(lanes.mart("mart_return_rate_by_product")),
+    "report_store_rates_long": lambda lanes: reports.store_rates_long(lanes.mart("mart_return_rate_by_store")),
+    "report_store_table": lambda lanes: reports.store_table(lanes.mart("mart_return_rate_by_store")),
+    "report_return_reasons": lambda lanes: reports.return_reasons(lanes.mart("mart_return_reason_summary")),
+    "report_exception_page": lambda lanes: lanes.exception_page(),
+    "report_exception_filter": lambda lanes: lanes.exception_page(**CHOICES),
+    "report_exception_kpis": lambda lanes: reports.exception_kpis(lanes.mart("mart_return_policy_exceptions"), **CHOICES),
+    "report_exception_counts": lambda lanes: reports.exception_counts(lanes.mart("mart_return_policy_exceptions")),
+    "report_exception_types": lambda lanes: reports.exception_types(lanes.mart("mart_return_policy_exceptions")),
+    "report_filter_choices": lambda lanes: reports.filter_choices(lanes.mart("mart_return_policy_exceptions"), "store_name"),
+    "report_top_employees": lambda lanes: reports.top_employees(lanes.mart("mart_employee_return_activity")),
+    "report_employee_scatter": lambda lanes: reports.employee_scatter(lanes.mart("mart_employee_return_activity")),
+    "report_unusual_employees": lambda lanes: reports.unusual_employees(lanes.mart("mart_employee_return_activity")),
 }
 
 
@@ -295,7 +296,7 @@ def _members_by_group(lanes: Lanes) -> DataFrame:
 
 
 def _temp_view_query(lanes: Lanes) -> DataFrame:
-    publish_views({"store_mart": lanes.mart_store()})
+    publish_views({"store_mart": lanes.mart("mart_return_rate_by_store")})
     return lanes.spark.sql(
         "SELECT store_region, count(*) AS stores, sum(total_returns) AS total_returns FROM store_mart GROUP BY store_region"
     )
@@ -366,85 +367,15 @@ SOURCES = {
 }
 
 
-def _numbers(lanes: Lanes, table: str) -> DataFrame:
-    """Entity numbers 1..n for as many rows as the given table has."""
-    key = PRIMARY_KEYS[table]
-    return number_members(lanes.raw[table].select(key), key).select((F.col("member_no") + 1).alias("n"))
-
-
-class Synthetic:
-    """Synthetic tables as large as the given ones; each is stored when first needed."""
-
-    def __init__(self, lanes: Lanes):
-        self._lanes = lanes
-        self._stored: dict[str, DataFrame] = {}
-
-    def __getitem__(self, table: str) -> DataFrame:
-        if table not in self._stored:
-            self._stored[table] = settled(getattr(self, f"_{table}")(_numbers(self._lanes, table)), f"synth-{table}")
-        return self._stored[table]
-
-    def _products(self, ids: DataFrame) -> DataFrame:
-        return synth.generate_products(ids)
-
-    def _stores(self, ids: DataFrame) -> DataFrame:
-        return synth.generate_stores(ids, distinct_places=False)
-
-    def _customers(self, ids: DataFrame) -> DataFrame:
-        return synth.generate_customers(ids)
-
-    def _employees(self, ids: DataFrame) -> DataFrame:
-        return synth.generate_employees(ids, self["stores"])
-
-    def _sales(self, ids: DataFrame) -> DataFrame:
-        return synth.generate_sales(ids, self["products"], self["stores"], self["customers"], self["employees"])
-
-    def _returns(self, ids: DataFrame) -> DataFrame:
-        count = ids.agg(F.count("*")).scalar()
-        return synth.generate_returns(count, self["sales"], self["products"], self["stores"], self["employees"])
-
-
-def _synth_invariants(lanes: Lanes) -> DataFrame:
-    """Rows, distinct keys and violated invariants of every synthetic table."""
-    tables = Synthetic(lanes)
-    dated = tables["returns"].join(
-        tables["sales"].select("sale_id", "sale_date", "quantity", "store_id").withColumnRenamed("store_id", "sold_at"),
-        "sale_id", "left",
-    )
-    wrong = {
-        "products": (tables["products"], "not unit_price between 4.99 and 1299.99 or cost > unit_price"),
-        "stores": (tables["stores"], "store_type is null or city is null"),
-        "customers": (tables["customers"], "loyalty_tier is null or city is null"),
-        "employees": (tables["employees"], "role is null or store_id is null"),
-        "sales": (tables["sales"], "sale_amount < 0 or discount_amount < 0 or quantity not between 1 and 5"),
-        "returns": (dated, """coalesce(return_date < sale_date, true) or return_amount < 0 or sold_at <> store_id
-            or return_quantity not between 1 and quantity"""),
-    }
-    return union_all([
-        frame.agg(
-            F.count("*").alias("row_count"), F.countDistinct(PRIMARY_KEYS[name]).alias("distinct_keys"),
-            F.count_if(F.expr(condition)).alias("violations"),
-        ).select(F.lit(name).alias("table_name"), "row_count", "distinct_keys", "violations")
-        for name, (frame, condition) in wrong.items()
-    ])
-
-
 def _weighted_sample(lanes: Lanes) -> DataFrame:
     """A tenth of all sales, drawn without replacement by amount: its size and distinct sales."""
     sales = settled(lanes.raw["sales"].select("sale_id", "sale_amount"), "sample-source")
     tenth = sales.agg(F.expr("count(*) div 10")).scalar()
     weight = "greatest(cast(sale_amount as double), 0.01D) / 1000"
-    drawn = sample_exact(sales, "sale_id", tenth, seed=synth.SEED, label="sample", weight=weight)
+    drawn = sample_exact(sales, "sale_id", tenth, seed=SAMPLE_SEED, label="sample", weight=weight)
     return drawn.agg(F.count("*").alias("sampled"), F.countDistinct("sale_id").alias("distinct_sales"))
 
 
-SYNTHETIC = {
-    **{f"synth_{table}": lambda lanes, table=table: Synthetic(lanes)[table] for table in TABLES},
-    "synth_invariants": _synth_invariants,
-    "weighted_sample": _weighted_sample,
-}
-
-
 def all_queries() -> dict[str, Query]:
-    found = {**_layers(), **MARTS, **ANALYSIS, **REPORTS, **QUALITY, **OPERATORS, **SOURCES, **SYNTHETIC}
+    found = {**_layers(), **MARTS, **ANALYSIS, **REPORTS, **QUALITY, **OPERATORS, **SOURCES, "weighted_sample": _weighted_sample}
     return {**{name: _on_lanes(build) for name, build in found.items()}, "list_stage": _stage_files}

@@ -149,16 +149,6 @@ EMPLOYEE_COLUMNS = [
 ]
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows hashed over all cores when their files give fewer tasks than there are cores.
-
-    A file of one row group is otherwise decoded and processed by a single task. Large inputs have
-    far more tasks than cores and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 class RetailTables:
     """Lazy raw tables over one data folder: ``tables["sales"]`` and so on."""
 
@@ -181,8 +171,10 @@ class RetailTables:
         return self._spark.read.schema(GIVEN[name]).parquet(f"{self._folder}/{name}.parquet")
 
     def _lines(self) -> DataFrame:
+        # lines move to their orders, which the join asks for unless orders are small; a file of one
+        # row group is then not left to a single task
         return (
-            spread(self._read("lineitem"), "l_orderkey")
+            self._read("lineitem").repartition("l_orderkey")
             .join(self._read("orders").selectExpr(*ORDER_COLUMNS), F.expr("l_orderkey = o_orderkey"))
             .join(self._read("part").selectExpr(*PART_COLUMNS), F.expr("l_partkey = p_partkey"))
         )

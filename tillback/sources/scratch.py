@@ -2,24 +2,35 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_FOLDER = "spark.checkpoint.dir"
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    """A folder of this process, for local sessions that name none; it is deleted when the process ends."""
+    folder = tempfile.mkdtemp(prefix="tillback-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder below the one the cluster names for checkpoints.
 
-    Only a local session without that setting gets a temporary folder of its own machine.
+    Only a local session without that setting gets a temporary folder of its own process.
     """
     base = spark.conf.get(SHARED_FOLDER, None)
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {SHARED_FOLDER} to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="tillback-")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
