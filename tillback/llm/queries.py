@@ -16,6 +16,7 @@ from tillback.llm.pieces import round_trip
 from tillback.llm.pii import pii_digest
 from tillback.llm.quality import quality
 from tillback.llm.search import top_k
+from tillback.llm.statements import STATEMENTS  # noqa: F401 - read with the queries
 from tillback.llm.substrings import without_repeats
 from tillback.llm.toxicity import toxicity
 
@@ -78,4 +79,4 @@ QUERIES: dict[str, Query] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
 }
-STATEMENTS: dict[str, str] = {}
+
