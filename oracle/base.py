@@ -246,9 +246,12 @@ mart_exceptions as (
 ),
 handled as (
     select e.employee_id, e.store_id, e.role as employee_role, e.hire_date, e.active_flag,
-        count(b.return_id) as n, sum(b.return_amount) as amount,
-        count(*) filter (b.no_receipt_flag) as bare, count(*) filter (b.policy_exception_flag) as policy
-    from employees e left join back b on b.employee_id = e.employee_id group by all
+        coalesce(b.n, 0) as n, b.amount, coalesce(b.bare, 0) as bare, coalesce(b.policy, 0) as policy
+    from employees e left join (
+        select employee_id, count(*) as n, sum(return_amount) as amount, count(*) filter (no_receipt_flag) as bare,
+            count(*) filter (policy_exception_flag) as policy
+        from back group by 1
+    ) b on b.employee_id = e.employee_id
 ),
 mart_employee as (
     select employee_id, store_id, employee_role, hire_date, active_flag, n as total_returns_processed,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from oracle.base import LOADED, derived, lenient, strict, strict_rate
 
 SALES = "sale_id, transaction_id, sale_date, store_id, customer_id, employee_id, product_id"
@@ -316,5 +318,87 @@ def operators() -> dict[str, str]:
     }
 
 
+# Rows listed twice and values spoiled in the faulty variants; kept apart from the plans they check.
+TWICE = {
+    "sales": "quantity = 13", "products": "product_category = 'beauty'", "stores": "store_type = 'mall'",
+    "customers": "loyalty_tier = 'gold'", "employees": "role = 'manager'",
+}
+
+
+def with_repeats(body: str) -> str:
+    """A strict statement over tables with repeated rows, whose facts join every dimension."""
+    text = strict(body)
+
+    def insert(name: str, once: str, then: str) -> None:
+        nonlocal text
+        text, found = re.subn(
+            rf"(^|\n|,|with ){name} as \((.*?)\n\)", lambda m: f"{m[1]}{once} as ({m[2]}\n),\n{name} as ({then})", text, count=1, flags=re.DOTALL
+        )
+        assert found, name
+
+    for name, condition in TWICE.items():
+        insert(name, f"{name}_once", f"select * from {name}_once union all select * from {name}_once where {condition}")
+    joins = " ".join(
+        f"left join (select {key} as d{n} from {table}) t{n} on t{n}.d{n} = f.{key}"
+        for n, (table, key) in enumerate((("products", "product_id"), ("stores", "store_id"), ("customers", "customer_id"), ("employees", "employee_id")))
+    )
+    for name in ("sold", "back"):
+        insert(name, f"{name}_once", f"select f.* from {name}_once f {joins}")
+    return text
+
+
+SPOILED = """
+spoiled_sales as (
+    select * replace (
+        case when quantity = 17 then null else sale_id end as sale_id,
+        case when quantity = 19 then cast(-sale_amount as decimal(10,2)) else sale_amount end as sale_amount,
+        case when quantity = 23 then 'shells' else payment_method end as payment_method,
+        case when quantity = 29 then 'TXN-repeated' else transaction_id end as transaction_id) from sales
+),
+spoiled_returns as (
+    select * replace (
+        case when return_reason = 'defective' then 'gone-' || sale_id else sale_id end as sale_id,
+        case when return_reason = 'wrong_size' then date '1990-01-01' else return_date end as return_date,
+        case when return_reason = 'other' then null else return_id end as return_id,
+        case when return_reason = 'damaged' then cast(-return_amount as decimal(10,2)) else return_amount end
+            as return_amount) from returns
+)"""
+
+
+def faulty() -> dict[str, str]:
+    """Marts over repeated keys, and violations over spoiled tables."""
+    marts_of = {
+        "mart_daily_sales_returns_summary": "mart_daily", "mart_return_rate_by_product": "mart_product",
+        "mart_return_rate_by_store": "mart_store", "mart_return_reason_summary": "mart_reason",
+        "mart_employee_return_activity": "mart_employee",
+    }
+    found = {f"{name}_repeated_keys": with_repeats(f"select * from {cte}") for name, cte in marts_of.items()}
+    orphans = """select r.sale_id as key, count(*) as rows from spoiled_returns r
+        where r.sale_id is not null and not exists (select 1 from spoiled_sales s where s.sale_id = r.sale_id) group by 1"""
+    bodies = {
+        "violations_null_sale_ids": "select transaction_id, product_id, store_id, sale_date from spoiled_sales where sale_id is null",
+        "violations_repeated_transactions": """select transaction_id, count(*) as rows from spoiled_sales
+            where transaction_id is not null group by 1 having count(*) > 1""",
+        "violations_payment_methods": "select sale_id, payment_method from spoiled_sales where payment_method = 'shells'",
+        "violations_orphan_returns": orphans,
+        "violations_negative_amounts": "select return_id, return_amount from spoiled_returns where return_amount < 0",
+        "violations_early_returns": """select r.return_id, s.sale_date, r.return_date
+            from spoiled_returns r join spoiled_sales s on r.sale_id = s.sale_id where r.return_date < s.sale_date""",
+        "quality_summary_spoiled": f"""
+            select 'not_null' as rule, 'sales' as table_name, 'sale_id' as column_name, count(*) as rows_checked,
+                count(*) filter (where sale_id is null) as violations from spoiled_sales
+            union all select 'not_null', 'sales', 'sale_date', count(*), count(*) filter (where sale_date is null) from spoiled_sales
+            union all select 'not_null', 'returns', 'return_id', count(*), count(*) filter (where return_id is null) from spoiled_returns
+            union all select 'unique', 'sales', 'transaction_id', sum(n)::bigint, count(*) filter (where n > 1 and transaction_id is not null)
+                from (select transaction_id, count(*) as n from spoiled_sales group by 1)
+            union all select 'accepted_values', 'sales', 'payment_method', count(*),
+                count(*) filter (where payment_method = 'shells') from spoiled_sales
+            union all select 'relationships', 'returns', 'sale_id', (select count(*) from spoiled_returns),
+                (select coalesce(sum(rows), 0)::bigint from ({orphans}))
+            union all select 'not_empty', 'no_sales', '*', 0, 1""",
+    }
+    return found | {name: derived(body, SPOILED) for name, body in bodies.items()}
+
+
 def statements() -> dict[str, str]:
-    return {**layers(), **marts(), **analysis(), **reports(), **quality(), **operators()}
+    return {**layers(), **marts(), **analysis(), **reports(), **quality(), **operators(), **faulty()}

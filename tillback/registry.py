@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillback.domains import TABLES, columns
+from tillback.domains import PAYMENT_METHODS, TABLES, columns
+from tillback.operators import quality
 from tillback.operators.joins import attach, full_merge
 from tillback.operators.quality import row_counts, union_all, unique
 from tillback.operators.ranking import exact_quantile, number_members, top_one
@@ -30,6 +31,7 @@ from tillback.sources.adapter import RetailTables
 from tillback.sources.landing import copy_into, list_stage, write_csv
 from tillback.sources.scratch import settled, shared_folder
 from tillback.sources.tables import publish_views
+from tillback.sources.variants import RepeatedTables, SpoiledTables
 from tillback.streaming.incremental import copy_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,9 +41,9 @@ SAMPLE_SEED = 42
 class Lanes:
     """Both lanes over one folder; every attribute is a lazy frame."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, variant: Callable = lambda raw: raw):
         self.spark = spark
-        self.raw = RetailTables(spark, folder)
+        self.raw = variant(RetailTables(spark, folder))
         self.staged = Staged(self.raw)
         self.silver = Silver(self.raw)
 
@@ -113,8 +115,8 @@ class StrictModels:
         return facts[name](self._lanes)
 
 
-def _on_lanes(build: Callable[[Lanes], DataFrame]) -> Query:
-    return lambda spark, folder: build(Lanes(spark, folder))
+def _on_lanes(build: Callable[[Lanes], DataFrame], *variant: Callable) -> Query:
+    return lambda spark, folder: build(Lanes(spark, folder, *variant))
 
 
 def _layers() -> dict[str, Callable[[Lanes], DataFrame]]:
@@ -376,6 +378,51 @@ def _weighted_sample(lanes: Lanes) -> DataFrame:
     return drawn.agg(F.count("*").alias("sampled"), F.countDistinct("sale_id").alias("distinct_sales"))
 
 
+REPEATED_KEY_MARTS = [
+    "mart_daily_sales_returns_summary", "mart_return_rate_by_product", "mart_return_rate_by_store",
+    "mart_return_reason_summary", "mart_employee_return_activity",
+]
+REPEATED_KEYS = {f"{name}_repeated_keys": lambda lanes, name=name: lanes.mart(name) for name in REPEATED_KEY_MARTS}
+
+
+def _violating(rows: Callable[[Lanes], DataFrame], *shown: str) -> Callable[[Lanes], DataFrame]:
+    return lambda lanes: rows(lanes).select(*shown)
+
+
+# Rows that break a rule, and the summary of all rules broken, over the spoiled tables.
+VIOLATIONS = {
+    "violations_null_sale_ids": _violating(
+        lambda lanes: quality.null_rows(lanes.raw["sales"], "sale_id"), "transaction_id", "product_id", "store_id", "sale_date"
+    ),
+    "violations_repeated_transactions": lambda lanes: quality.repeated_values(lanes.raw["sales"], "transaction_id"),
+    "violations_payment_methods": _violating(
+        lambda lanes: quality.unaccepted_rows(lanes.raw["sales"], "payment_method", PAYMENT_METHODS), "sale_id", "payment_method"
+    ),
+    "violations_orphan_returns": lambda lanes: quality.orphan_keys(lanes.raw["returns"], "sale_id", lanes.raw["sales"], "sale_id"),
+    "violations_negative_amounts": _violating(
+        lambda lanes: quality.negative_rows(lanes.raw["returns"], "return_amount"), "return_id", "return_amount"
+    ),
+    "violations_early_returns": _violating(
+        lambda lanes: quality.before_rows(
+            return_timing(lanes.raw["returns"], lanes.raw["sales"]), "sale_date", "return_date"
+        ), "return_id", "sale_date", "return_date",
+    ),
+    "quality_summary_spoiled": lambda lanes: union_all([
+        quality.not_null(lanes.raw["sales"], "sales", ["sale_id", "sale_date"]),
+        quality.not_null(lanes.raw["returns"], "returns", ["return_id"]),
+        quality.unique(lanes.raw["sales"], "sales", "transaction_id"),
+        quality.accepted_values(lanes.raw["sales"], "sales", {"payment_method": PAYMENT_METHODS}),
+        quality.relationships(lanes.raw["returns"], "returns", "sale_id", lanes.raw["sales"], "sale_id"),
+        quality.not_empty(lanes.raw["sales"].filter("quantity < 0"), "no_sales"),
+    ]),
+}
+
+
 def all_queries() -> dict[str, Query]:
     found = {**_layers(), **MARTS, **ANALYSIS, **REPORTS, **QUALITY, **OPERATORS, **SOURCES, "weighted_sample": _weighted_sample}
-    return {**{name: _on_lanes(build) for name, build in found.items()}, "list_stage": _stage_files}
+    return {
+        **{name: _on_lanes(build) for name, build in found.items()},
+        **{name: _on_lanes(build, RepeatedTables) for name, build in REPEATED_KEYS.items()},
+        **{name: _on_lanes(build, SpoiledTables) for name, build in VIOLATIONS.items()},
+        "list_stage": _stage_files,
+    }
