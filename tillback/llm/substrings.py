@@ -133,11 +133,23 @@ def _beside(texts: DataFrame, hits: DataFrame, how: str) -> DataFrame:
     return texts.join(right, same, how).select("doc_id", "t", "text", "hits")
 
 
+def _told_apart(texts: DataFrame) -> DataFrame:
+    """Texts with the column ``t``, which tells rows of one id apart.
+
+    It is a hash of the text, and 0 where ids are unique: it travels with every place, and a value
+    that never changes takes no room in a compressed shuffle.
+    """
+    known = texts.select("doc_id").filter("doc_id is not null")
+    unique = known.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    own = F.hash("text").bitwiseAND((1 << TEXT_BITS) - 1)
+    return texts.withColumn("t", F.when(F.col("doc_id").isNotNull(), 0).otherwise(own) if unique else own)
+
+
 def without_repeats(docs: DataFrame, window: int = 35, *, with_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept_text for every row of ``docs`` (doc_id, text)."""
     if window < PERIOD:
         raise ValueError(f"a window has at least {PERIOD} words")
-    texts = keyed_texts(docs).withColumn("t", F.hash("text").bitwiseAND((1 << TEXT_BITS) - 1))
+    texts = _told_apart(keyed_texts(docs))
     hits = _repeated(texts.mapInArrow(_anchors(window), PLACES))
     starts = _repeated(_beside(texts, hits, "inner").mapInArrow(_extended(window), PLACES))
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + (", kept_text string" if with_text else "")
