@@ -7,6 +7,7 @@ fact rows there, as it does in the stored tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -298,9 +299,10 @@ def _members_by_group(lanes: Lanes) -> DataFrame:
 
 
 def _temp_view_query(lanes: Lanes) -> DataFrame:
-    publish_views({"store_mart": lanes.mart("mart_return_rate_by_store")})
+    view = f"store_mart_{uuid.uuid4().hex}"  # calls at the same time don't replace each other's view
+    publish_views({view: lanes.mart("mart_return_rate_by_store")})
     return lanes.spark.sql(
-        "SELECT store_region, count(*) AS stores, sum(total_returns) AS total_returns FROM store_mart GROUP BY store_region"
+        f"SELECT store_region, count(*) AS stores, sum(total_returns) AS total_returns FROM {view} GROUP BY store_region"
     )
 
 

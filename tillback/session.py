@@ -38,6 +38,8 @@ def build_session(app_name: str = "tillback", *, input_bytes: int = 0, moved_byt
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
+        # facts bucketed by sale id stay in place in the join on sale id and four more keys
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes, moved_bytes)),

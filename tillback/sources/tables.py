@@ -6,6 +6,8 @@ import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 FORMAT = "parquet"
 IDENTIFIER = re.compile(r"[A-Z0-9_$]+")
@@ -39,12 +41,16 @@ def write_overwrite(
     """Replace a table. Bucketing by a key lets later joins and distinct counts on it stay in place.
 
     Rows are moved to their bucket before writing, which gives one file per bucket instead of one
-    per task and bucket; use it for keys that identify rows.
+    per task and bucket; use it for keys that identify rows. Rows without a key share a bucket but
+    are written by all tasks.
     """
     if not (bucket_by and buckets):
         df.write.format(fmt).mode("overwrite").saveAsTable(table)
         return
-    placed = df.repartition(buckets, bucket_by)
+    place = F.col(bucket_by)
+    if isinstance(df.schema[bucket_by].dataType, T.StringType):
+        place = F.coalesce(place, F.xxhash64(*df.columns).cast("string"))
+    placed = df.repartition(buckets, place)
     writer = placed.write.format(fmt).mode("overwrite")
     writer.bucketBy(buckets, bucket_by).sortBy(bucket_by).saveAsTable(table)
 

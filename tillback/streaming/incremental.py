@@ -13,12 +13,13 @@ from tillback.sources.landing import CSV_FORMAT, text_schema, typed_rows
 
 
 def copy_new_files(
-    spark: SparkSession, table: str, landing: str, target: str, checkpoint: str, files_per_batch: int | None = None
+    spark: SparkSession, table: str, landing: str, target: str, checkpoint: str, files_per_batch: int = 1000
 ) -> StreamingQuery:
-    """Append the rows of new files in ``landing`` to the parquet folder ``target``."""
-    reader = spark.readStream.options(**CSV_FORMAT).schema(text_schema(table))
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    """Append the rows of new files in ``landing`` to the parquet folder ``target``.
+
+    All new files are taken, in batches of at most ``files_per_batch`` files.
+    """
+    reader = spark.readStream.options(**CSV_FORMAT).schema(text_schema(table)).option("maxFilesPerTrigger", files_per_batch)
     stream = (
         typed_rows(reader.csv(landing), table)
         .writeStream.format("parquet")
