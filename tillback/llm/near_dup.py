@@ -10,7 +10,7 @@ a pair shares no key with a chance of 0.00004; other links of the same group usu
 
 Defined results: a text without words has an empty set and is linked with nothing. Fewer words than
 a shingle form one shingle. Rows without an id are never linked. A repeated id is one node: its rows
-get one component. Extra columns are ignored. An empty table gives an empty result.
+get one component, and its links are confirmed on the set of one of its texts. Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
