@@ -238,6 +238,19 @@ def test_disguised_words_are_restored(spark):
     assert {r.doc_id for r in kept.collect()} == {k for k, _ in rows if k % 8} | {9005, 9006, 9007}
 
 
+def test_words_of_few_toxic_texts_are_evidence(spark):
+    """As in a language with few labelled rows: eight toxic texts to train on, all with one word."""
+    rows, docs, labels = toxic_tables(spark)
+    ids = range(5000, 5100)
+    seen = [k for k in ids if zlib.crc32(str(k).encode()) % 4 != 2][:8]
+    rare = seen + [k for k in ids if zlib.crc32(str(k).encode()) % 4 == 2][:4]
+    more = frame(spark, [(k, prose(k, 30) + " quistrel " + prose(-k, 9)) for k in rare])
+    told = labels.unionByName(spark.createDataFrame([(k, 1) for k in rare], labels.schema))
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity(docs.unionByName(more), told).collect()}
+    assert all(got[k] for k in rare)
+    assert all(got[k] == int(k % 8 == 0) for k, _ in rows)
+
+
 def test_restoring_is_the_best_reading():
     from itertools import product
 

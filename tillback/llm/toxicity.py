@@ -45,7 +45,7 @@ class Toxicity:
     max_evidence: int = 50_000
     doubt: float = 4.0
     known: int = 8
-    deviations: float = 8.5
+    deviations: float = 5.0
     least: float = 0.5
     floor: float = 0.01
     heads: tuple[int, ...] = (6, 5, 4)
