@@ -91,7 +91,3 @@ def text(spark):
         return spark.createDataFrame(data, ", ".join(f"{name} string" for name in columns(table)))
 
     return make
-
-
-def by(df, key):
-    return {row[key]: row for row in df.collect()}

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import by
+from rows import by
 from tillback.plans import analysis, gold
 from tillback.plans.silver import Silver, cleaned, silver_returns, silver_sales
 

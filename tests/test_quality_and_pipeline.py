@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import by
+from rows import by
 from tillback.domains import TABLES, columns
 from tillback.operators import quality
 from tillback.plans import checks

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import by
+from rows import by
 from tillback.domains import TABLES
 from tillback.functions.measures import count_rate
 from tillback.plans.pipeline import MART_PLANS, Store, build_strict
