@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tillback.llm.chat import chat_digest, formatted_chats
 from tillback.llm.frames import table
+from tillback.llm.lexical import lexical_search
+from tillback.llm.licenses import license_digest, license_spans
 from tillback.llm.line_dedup import line_report
 from tillback.llm.near_dup import NearDup, near_duplicates
 from tillback.llm.packing import packed, packing
@@ -19,6 +21,7 @@ from tillback.llm.search import top_k
 from tillback.llm.statements import STATEMENTS  # noqa: F401 - read with the queries
 from tillback.llm.substrings import without_repeats
 from tillback.llm.toxicity import toxicity
+from tillback.llm.trie import Shared, conversation_trie
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +70,18 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return license_digest(license_spans(table(spark, folder, "documents")))
+
+
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie(table(spark, folder, "conversations"), Shared(group=100, turns=6))
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_pii": op2_pii,
@@ -78,5 +93,8 @@ QUERIES: dict[str, Query] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_license_scans": op11_license_scans,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_lexical_search": op13_lexical_search,
 }
 

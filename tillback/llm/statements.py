@@ -73,4 +73,71 @@ SEARCH = """
     from scored qualify rank <= 5
 """
 
-STATEMENTS = {"op3_quality_rules": quality_statement(), "op7_exact_top_k": SEARCH}
+# crc32 of the decimal number, byte by byte and bit by bit.
+CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+        lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+TRIE = f"""
+    with turns as (
+        select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+            row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as i
+        from conversations where conv_id is not null
+    ),
+    sizes as (select conv_id, count(*) as n, ({CRC}) % 6 as h, conv_id - conv_id % 100 as base from turns group by conv_id),
+    planned as (select s.*, least(s.h, coalesce(b.n, 0)) as p from sizes s left join sizes b on s.base = b.conv_id),
+    rebuilt as (
+        select conv_id, i - h + p as d, role, text from turns join planned using (conv_id) where i > h
+        union all
+        select planned.conv_id, i, role, text from planned join turns on base = turns.conv_id where i <= p
+    ),
+    steps as (select conv_id, d, sha256(concat_ws(chr(31), role, text)) as step, length(text) as chars from rebuilt),
+    paths as (
+        select conv_id, d, chars, list(step) over (partition by conv_id order by d) as path from steps
+        union all
+        select conv_id, 0, 0, [] from sizes
+    ),
+    ends as (select conv_id, arg_max(path, d) as path from paths group by conv_id),
+    nodes as (select path, d as depth, any_value(chars) as chars, count(*) as n_convs, min(conv_id) as conv_id from paths group by path, d),
+    kids as (select path[1 : depth - 1] as path, count(*) as n_children from nodes where depth > 0 group by 1),
+    ended as (select path, string_agg(conv_id::varchar, ',' order by conv_id) as ids from ends group by path),
+    known as (
+        select nodes.*, coalesce(n_children, 0) as n_children, sha256(coalesce(ids, '')) as ends_sha256
+        from nodes left join kids using (path) left join ended using (path)
+    ),
+    summed as (
+        select path[1 : k] as path, count(*) filter (where n_children = 0) as n_leaves, sum((n_convs - 1) * chars)::bigint as saved_tokens
+        from (select *, unnest(range(depth + 1)) as k from known) group by 1
+    )
+    select known.conv_id, known.depth, parents.conv_id as parent_conv_id, known.n_convs, known.n_children, n_leaves, saved_tokens,
+        known.ends_sha256
+    from known join summed using (path) left join nodes parents on known.depth > 0 and parents.path = known.path[1 : known.depth - 1]
+"""
+
+TERMS = """unnest(regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))"""
+
+LEXICAL = f"""
+    with words as (select doc_id, {TERMS.format(text="text")} as term from documents),
+    lengths as (select doc_id, count(*) as n from words group by doc_id),
+    totals as (select count(*) as documents, sum(n)::bigint as terms from lengths),
+    asked as (
+        select item_id, term, count(*) as q from (select item_id, {TERMS.format(text="text")} as term from benchmark)
+        group by item_id, term
+    ),
+    occurring as (select doc_id, term, count(*) as tf from words semi join asked using (term) group by doc_id, term),
+    weights as (
+        select term, floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1)::double))::bigint as w
+        from occurring, totals group by term
+    ),
+    gains as (
+        select doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * documents) // terms))) as gain
+        from occurring join weights using (term) join lengths using (doc_id), totals
+    ),
+    scored as (select item_id, doc_id, sum(q * gain)::bigint as score from asked join gains using (term) group by item_id, doc_id)
+    select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+    from scored where score > 0 qualify rank <= 20
+"""
+
+STATEMENTS = {
+    "op3_quality_rules": quality_statement(), "op7_exact_top_k": SEARCH, "op12_conversation_trie": TRIE, "op13_lexical_search": LEXICAL,
+}

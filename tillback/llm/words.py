@@ -1,6 +1,7 @@
 """Words and word hashes of whole text columns as numpy arrays, without a Python loop over words.
 
-A word is a maximal run of characters other than space and U+0009 to U+000D. Its hash is a 64-bit
+A word is a maximal run of characters other than space and U+0009 to U+000D, or other than the
+given bytes between words. Its hash is a 64-bit
 sum of byte values times position factors, so equal words have equal hashes in every task. Two
 different words share a hash with a chance of about 2**-64.
 """
@@ -15,6 +16,8 @@ from tillback.llm.frames import text_bytes
 U64 = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+NO_TERM = np.ones(256, bool)  # what stands between terms: ASCII other than letters and digits
+NO_TERM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -46,9 +49,9 @@ def factors(count: int) -> np.ndarray:
 class Words:
     """Where the words of a slice of texts are, and their hashes."""
 
-    def __init__(self, column: pa.Array, *, lower: bool = False, hashed: bool = True):
+    def __init__(self, column: pa.Array, *, lower: bool = False, hashed: bool = True, gaps: np.ndarray = SPACE):
         self.data, self.offsets = text_bytes(column)
-        blank = SPACE[self.data]
+        blank = gaps[self.data]
         edge = np.zeros(len(blank) + 1, bool)
         edge[self.offsets] = True  # a text's first byte begins a word, whatever the text before ends with
         before, after = edge[:-1].copy(), edge[1:].copy()
