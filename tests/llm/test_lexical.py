@@ -5,11 +5,12 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from texts import frame, odd_rows
 
 from tillback.llm import lexical
-from tillback.llm.lexical import Ranking, lexical_search
+from tillback.llm.lexical import Block, Ranking, Visitor, lexical_search
 
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 
@@ -63,14 +64,35 @@ def test_against_scores_of_all(spark, k):
     assert found_search(spark, docs, ITEMS, k) == plain_search(docs, ITEMS, k)
 
 
-def test_several_visits(spark, monkeypatch):
-    """Small steps: queries that have met too few documents go on, to the last group."""
-    monkeypatch.setattr(lexical, "FIRST_POSTINGS", 1)
-    monkeypatch.setattr(lexical, "MORE_POSTINGS", 2)
+def test_small_steps(spark, monkeypatch):
+    """Several blocks of queries, few postings and few scores at a time."""
+    monkeypatch.setattr(lexical, "PAIRS_OF_BLOCK", 20)
     docs = some_docs(2, 120)
     assert found_search(spark, docs, ITEMS, 12) == plain_search(docs, ITEMS, 12)
 
 
+@pytest.mark.parametrize("k, at_once", [(1, 1), (3, 7), (3, 100)])
+def test_strata_are_skipped_only_where_no_score_can_count(monkeypatch, k, at_once):
+    monkeypatch.setattr(lexical, "SCORES_AT_ONCE", at_once)
+    rng = np.random.default_rng(k)
+    block = Block.of([(item, term, int(rng.integers(1, 50))) for item in range(6) for term in rng.choice(9, 4, replace=False)])
+    visitor, every = Visitor(block, k), {}
+    for part in range(5):
+        m, row = rng.integers(75, 80, 20), np.arange(20) + 100 * part
+        doc = np.repeat(np.arange(20), 3)
+        term = np.concatenate([rng.choice(len(block.terms), 3, replace=False) for _ in range(20)])
+        tf = rng.integers(1, 4, 60)
+        for item in range(len(block.names)):
+            own = dict((t, g) for t in range(len(block.terms)) for i, g in zip(block.items[block.begins[t] : block.begins[t + 1]], block.gains[block.begins[t] : block.begins[t + 1]]) if i == item)
+            for d in range(20):
+                score = sum(int(own.get(t, 0)) * (10**9 * int(f) // (1000 * int(f) + 12 * int(m[d]))) for e, t, f in zip(doc, term, tf) if e == d)
+                if score:
+                    every.setdefault(int(block.names[item]), []).append((-score, int(row[d])))
+        visitor.visit(m, row, row, np.zeros(20, bool), doc, term, tf)
+    found = visitor.found().to_pylist()
+    assert sorted((r["item"], -r["score"], r["row"]) for r in found) == sorted((item, *best) for item, own in every.items() for best in sorted(own)[:k])
+
+
 def test_odd_rows_and_ties(spark):
     docs = odd_rows() + [(k, "alpha beta") for k in range(40, 10, -1)] + [(15, "alpha beta"), (None, "alpha beta")]
     items = [(1, "alpha"), (2, "beta alpha alpha"), (3, "a b c")]

@@ -1,21 +1,20 @@
 """Ranked lexical search over a length-stratified index: exact best documents of every query text.
 
 A document's normaliser m is a whole number that depends on its length alone. Documents of equal m are
-a stratum. Within a stratum the postings of a term are grouped by its number of occurrences tf: all
-documents of such a group get the same impact from the term, which is computed once for the group.
-
-Strata are visited in the order of their bounds. In a stratum the terms of a query are put in the
-order of their largest impact there. A group of postings *reaches* the sum of the largest impacts of
-all earlier terms and of its own impact: a document scores at most what the best group that it stands
-in reaches, so a document of score s or more stands in a group that reaches s. The largest reach of a
-stratum is its bound. A query first visits the groups that reach most, until they hold many postings;
-documents met there are scored in full, from all their terms. The k-th score found is a limit: then
-every group that reaches it and was not visited is. Now the k best are certain. Where fewer than k
-documents were met, the next groups follow, up to all of them.
+a stratum. The index holds documents with their query terms, dealt out and sorted by stratum; within a
+stratum postings are put in order of term and tf, the number of occurrences. All documents of such a
+group get the same impact from the term, which is computed once for the group.
+
+Queries come in blocks of bounded size. A task goes through its strata, some at a time: the largest
+impacts of a query's terms in a stratum add up to a bound of all scores there. Strata are visited in
+the order of their bounds, and a query visits a stratum only while its bound reaches the k-th best
+score that the query has found; elsewhere no document can be among its k best. A visited stratum's
+postings are added up for all its documents at once. Every task returns its k best documents of each
+query, of which the k best are the result.
 
 Only occurrences of query terms are kept from the texts: a bit map of fixed size, made of the terms'
-hashes, tells which words may be one. Terms are compared by a 64-bit hash. Groups are counted and
-bounds are summed by key, and no step holds the postings of a term, a stratum or a query in one task.
+hashes, tells which words may be one. Terms are compared by a 64-bit hash. No step holds the postings
+of a term, a stratum or a query in one task.
 
 Defined results: a null text, or one without terms, counts for nothing and is never found. Every row
 is a document of its own, also where rows share an id; ids that are null come last among equal
@@ -27,7 +26,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +37,9 @@ from tillback.llm.words import NO_TERM, U64, Words
 
 SLOT_BITS = 24  # the bit map has so many bits at most, whatever the number of query terms
 BITS_OF_ROW = 32_768  # of one row of bitmap_construct_agg
-FIRST_POSTINGS = 50  # a query's first visit holds so many postings for each result asked for
-MORE_POSTINGS = 100  # and each further one, where too few documents were found, so many times more
-LEVELS = 64  # of reach for each power of two, by which a visit's postings are counted
+PAIRS_OF_BLOCK = 100_000  # about so many pairs of query and term are sent to the tasks at once
+POSTINGS_AT_ONCE = 1_000_000  # of the strata that a task puts in order together
+SCORES_AT_ONCE = 2_000_000  # of queries times documents that are added up at once
 
 
 @dataclass(frozen=True)
@@ -60,10 +58,6 @@ def weight(documents: int):
     return F.floor(1000 * F.log(F.lit(2.0 * documents + 2) / (2 * F.col("df") + 1))).cast("bigint")
 
 
-def impact(weight: str, tf: str, m: str):
-    return F.expr(f"{weight} * ((1000000000L * {tf}) div (1000L * {tf} + 12L * {m}))")
-
-
 def _counted(words: Words, chosen: np.ndarray) -> tuple[pa.ListArray, pa.ListArray]:
     """Distinct hashes of the chosen words of each text, and how often each occurs."""
     rows, hashes = words.rows[chosen], words.hashes[chosen]
@@ -94,6 +88,8 @@ def _terms_of(may_matter=None):
 
 
 TERMS = "id bigint, n bigint, terms array<bigint>, counts array<int>"
+INDEX = "row bigint, id bigint, m bigint, terms array<bigint>, counts array<int>"
+FOUND = "item bigint, row bigint, id bigint, score bigint"
 
 
 def bit_map(terms: DataFrame) -> bytes:
@@ -123,100 +119,180 @@ def query_terms(queries: DataFrame, key: str) -> DataFrame:
     )
 
 
-class Index:
-    """Documents with their query terms by stratum, and groups of postings with their impacts."""
-
-    def __init__(self, docs: DataFrame, terms: DataFrame, p: Ranking):
-        spark = docs.sparkSession
-        may_matter = spark.sparkContext.broadcast(bit_map(terms))
-        texts = keyed_texts(docs).withColumnRenamed("doc_id", "id")
-        described = stored(_numbered(texts.mapInArrow(_terms_of(may_matter), TERMS)), "lexical-documents")
-        totals = described.agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
-        self.documents = described.withColumn("m", p.normaliser(*totals)).filter("n > 0")
-        known = self.postings(self.documents).groupBy("term", "m", "tf").agg(F.count("*").alias("postings"))
-        known = stored(known, "lexical-counts")
-        df = known.groupBy("term").agg(F.sum("postings").alias("df")).join(terms.select("term").distinct(), "term", "left_semi")
-        weighted = known.join(df.select("term", weight(totals[0]).alias("w")), "term")
-        self.groups = stored(weighted.select("term", "m", "tf", "postings", impact("w", "tf", "m").alias("impact")), "lexical-groups")
-
-    @staticmethod
-    def postings(documents: DataFrame) -> DataFrame:
-        """(row, m, term, tf) of every query term in the given documents."""
-        pair = F.explode(F.arrays_zip("terms", "counts")).alias("p")
-        return documents.select("row", "m", pair).select("row", "m", F.col("p.terms").alias("term"), F.col("p.counts").alias("tf"))
-
-
-def visits(index: Index, terms: DataFrame) -> DataFrame:
-    """(item, term, m, tf, postings, gain, reach): every group that a query may visit."""
-    largest = index.groups.groupBy("term", "m").agg(F.max("impact").alias("largest"))
-    most = terms.join(largest, "term").withColumn("largest", F.col("q") * F.col("largest"))
-    earlier = Window.partitionBy("item", "m").orderBy("largest", "term").rowsBetween(Window.unboundedPreceding, -1)
-    below = most.select("item", "term", "m", "q", F.coalesce(F.sum("largest").over(earlier), F.lit(0)).alias("below"))
-    gain = F.col("q") * F.col("impact")
-    joined = below.join(index.groups, ["term", "m"])
-    return joined.select("item", "term", "m", "tf", "postings", gain.alias("gain"), (F.col("below") + gain).alias("reach")).filter("gain > 0")
-
+def stratified_index(docs: DataFrame, terms: DataFrame, p: Ranking) -> tuple[DataFrame, DataFrame]:
+    """Documents with their query terms, dealt out and sorted by stratum, and (term, w): the weights of the terms."""
+    may_matter = docs.sparkSession.sparkContext.broadcast(bit_map(terms))
+    texts = keyed_texts(docs).withColumnRenamed("doc_id", "id")
+    described = stored(_numbered(texts.mapInArrow(_terms_of(may_matter), TERMS)), "lexical-documents")
+    documents, total = described.agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
+    listed = described.filter(F.size("terms") > 0).withColumn("m", p.normaliser(documents, total))
+    # a stratum with a third of all documents is cut by their numbers
+    dealt = listed.select("row", "id", "m", "terms", "counts").repartitionByRange("m", "row").sortWithinPartitions("m")
+    index = stored(dealt, "lexical-index")
+    df = described.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    weights = df.join(terms.select("term").distinct(), "term", "left_semi").select("term", weight(documents).alias("w"))
+    return index, weights
 
-def _level(reach: str):
-    return F.floor(F.log2(F.col(reach).cast("double")) * LEVELS).cast("int")
 
+@dataclass
+class Block:
+    """Some queries: their terms in order of hash, and for each term the queries that ask for it with q * w."""
 
-def _limits(levels: DataFrame, wanted: int) -> DataFrame:
-    """(item, level): the highest level of reach from which on a query's groups hold ``wanted`` postings, or the lowest."""
-    downwards = Window.partitionBy("item").orderBy(F.desc("level"))
-    summed = levels.withColumn("total", F.sum("postings").over(downwards)).withColumn("before", F.col("total") - F.col("postings"))
-    return summed.filter(F.col("before") < wanted).groupBy("item").agg(F.min("level").alias("level"))
+    terms: np.ndarray
+    begins: np.ndarray
+    items: np.ndarray
+    gains: np.ndarray
+    names: np.ndarray
 
-
-def _scored(index: Index, groups: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(item, row, id, score) of the documents that stand in one of the chosen groups, from all their terms."""
-    met = index.postings(index.documents).join(chosen.select("item", "term", "m", "tf"), ["term", "m", "tf"])
-    met = met.select("item", "row").distinct()
-    read = met.join(index.documents.select("row", "id", "m", "terms", "counts"), "row")
-    pair = F.explode(F.arrays_zip("terms", "counts")).alias("p")
-    every = read.select("item", "row", "id", "m", pair).select("item", "row", "id", "m", F.col("p.terms").alias("term"), F.col("p.counts").alias("tf"))
-    gains = every.join(groups.select("item", "term", "m", "tf", "gain"), ["item", "term", "m", "tf"])
-    return gains.groupBy("item", "row", "id").agg(F.sum("gain").alias("score"))
+    @staticmethod
+    def of(rows: list) -> Block:
+        """From rows (item, term, q * w)."""
+        item, term, gain = (np.array([row[k] for row in rows], np.int64) for k in range(3))
+        order = np.argsort(term, kind="stable")
+        terms, begins = np.unique(term[order], return_index=True)
+        names, numbers = np.unique(item[order], return_inverse=True)
+        return Block(terms, np.append(begins, len(order)), numbers, gain[order], names)
+
+    def asked(self, active: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(begins, items, gains) of the active queries alone; items are numbered among these."""
+        wanted = active[self.items]
+        begins = np.concatenate([[0], np.cumsum(wanted)])[self.begins]
+        return begins, (np.cumsum(active) - 1)[self.items[wanted]], self.gains[wanted]
+
+
+def _spread(term: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every entry next to every query that asks for its term: numbers of entries and of (term, query) pairs."""
+    counts = (begins[1:] - begins[:-1])[term]
+    entry = np.repeat(np.arange(len(term)), counts)
+    ahead = np.cumsum(counts) - counts
+    return entry, np.arange(len(entry)) - ahead[entry] + begins[:-1][term][entry]
+
+
+class Visitor:
+    """Visits strata for a block of queries and keeps the best documents of each query."""
+
+    def __init__(self, block: Block, k: int):
+        self.block, self.k = block, k
+        self.limit = np.zeros(len(block.names), np.int64)  # a query's k-th best score so far
+        none = np.zeros(0, np.int64)
+        self.best = (none, none, none, none, none.astype(bool))  # query, score, row, id, whether the id is null
+
+    def visit(self, m: np.ndarray, row: np.ndarray, ids: np.ndarray, null: np.ndarray, doc: np.ndarray, term: np.ndarray, tf: np.ndarray) -> None:
+        """Documents (m, row, id) with their postings (doc, term, tf): a few whole strata or parts of one."""
+        order = np.lexsort((tf, term, m[doc]))
+        doc, term, tf = doc[order], term[order], tf[order]
+        of = m[doc]
+        new = np.ones(len(doc), bool)
+        new[1:] = (of[1:] != of[:-1]) | (term[1:] != term[:-1]) | (tf[1:] != tf[:-1])
+        group = np.cumsum(new) - 1
+        firsts = np.flatnonzero(new)
+        impact = (10**9 * tf[firsts]) // (1000 * tf[firsts] + 12 * of[firsts])  # once for all postings of a stratum, term and tf
+        strata, stratum = np.unique(of[firsts], return_inverse=True)
+        bounds = self._bounds(stratum, term[firsts], impact, len(strata))
+        edges = np.searchsorted(of, strata, side="left"), np.searchsorted(of, strata, side="right")
+        for s in np.argsort(-bounds.max(axis=0), kind="stable"):
+            active = (bounds[:, s] > 0) & (bounds[:, s] >= self.limit)
+            if active.any():
+                part = slice(edges[0][s], edges[1][s])
+                self._score(active, doc[part], term[part], impact[group[part]], row, ids, null)
+
+    def _bounds(self, stratum: np.ndarray, term: np.ndarray, impact: np.ndarray, strata: int) -> np.ndarray:
+        """(query, stratum): no document of the stratum scores more, as no term's impact is larger there."""
+        last = np.ones(len(term), bool)  # groups of a term come by rising tf, so the last has the largest impact
+        last[:-1] = (stratum[1:] != stratum[:-1]) | (term[1:] != term[:-1])
+        entry, pair = _spread(term[last], self.block.begins)
+        bounds = np.zeros((len(self.block.names), strata), np.int64)
+        np.add.at(bounds, (self.block.items[pair], stratum[last][entry]), self.block.gains[pair] * impact[last][entry])
+        return bounds
+
+    def _score(self, active, doc, term, impact, row, ids, null) -> None:
+        begins, items, gains = self.block.asked(active)
+        names = np.flatnonzero(active)
+        docs, doc = np.unique(doc, return_inverse=True)
+        step = max(1, SCORES_AT_ONCE // len(names))
+        order = np.argsort(doc, kind="stable")
+        doc, term, impact = doc[order], term[order], impact[order]
+        for low in range(0, len(docs), step):
+            here = slice(*np.searchsorted(doc, [low, low + step]))
+            scores = np.zeros((len(names), min(step, len(docs) - low)), np.int64)
+            entry, pair = _spread(term[here], begins)
+            np.add.at(scores.reshape(-1), items[pair] * scores.shape[1] + (doc[here] - low)[entry], gains[pair] * impact[here][entry])
+            self._keep(names, scores, docs[low : low + step], row, ids, null)
+
+    def _keep(self, names, scores, docs, row, ids, null) -> None:
+        floor = np.maximum(self.limit[names], 1)
+        if scores.shape[1] > self.k:
+            floor = np.maximum(floor, np.partition(scores, scores.shape[1] - self.k, axis=1)[:, scores.shape[1] - self.k])
+        query, at = np.nonzero(scores >= floor[:, None])
+        found = (names[query], scores[query, at], row[docs[at]], ids[docs[at]], null[docs[at]])
+        query, score, rows, own, missing = (np.concatenate(pair) for pair in zip(self.best, found))
+        order = np.lexsort((rows, own, missing, -score, query))
+        ordered = query[order]
+        begins = np.searchsorted(ordered, ordered)
+        kept = order[np.arange(len(order)) - begins < self.k]
+        self.best = tuple(column[kept] for column in (query, score, rows, own, missing))
+        counts = np.bincount(self.best[0], minlength=len(self.limit))
+        last = np.cumsum(counts) - 1
+        full = counts == self.k
+        self.limit[full] = self.best[1][last[full]]
+
+    def found(self) -> pa.RecordBatch:
+        query, score, rows, own, missing = self.best
+        return pa.record_batch({
+            "item": pa.array(self.block.names[query], pa.int64()), "row": pa.array(rows, pa.int64()),
+            "id": pa.array(own, pa.int64(), mask=missing), "score": pa.array(score, pa.int64()),
+        })
 
 
-def best_first(k: int):
-    return F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("id"), "row"))
+def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of the index with a bounded number of postings (one document at least)."""
+    for batch in batches:
+        ends = np.cumsum(batch.column("terms").value_lengths().to_numpy(zero_copy_only=False))
+        begin = 0
+        while begin < batch.num_rows:
+            before = ends[begin - 1] if begin else 0
+            end = max(int(np.searchsorted(ends, before + POSTINGS_AT_ONCE, side="right")), begin + 1)
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
+def _visited(queries, k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = queries.value
+        visitor = Visitor(block, k)
+        for part in _buffers(batches):
+            terms = part.column("terms").flatten().to_numpy(zero_copy_only=False)
+            tf = part.column("counts").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            doc = np.repeat(np.arange(part.num_rows), part.column("terms").value_lengths().to_numpy(zero_copy_only=False))
+            number = np.minimum(np.searchsorted(block.terms, terms), len(block.terms) - 1)
+            asked = block.terms[number] == terms
+            if asked.any():
+                ids = part.column("id")
+                visitor.visit(
+                    part.column("m").to_numpy(), part.column("row").to_numpy(), ids.fill_null(0).to_numpy(),
+                    ids.is_null().to_numpy(zero_copy_only=False), doc[asked], number[asked], tf[asked],
+                )
+        yield visitor.found()
+
+    return run
 
 
 def lexical_search(docs: DataFrame, queries: DataFrame, p: Ranking = Ranking(), *, key: str = "item_id") -> DataFrame:
     """item_id, rank, doc_id and score of the k best documents (doc_id, text) for every query (``key``, text)."""
+    spark = docs.sparkSession
     terms = query_terms(queries, key)
-    index = Index(docs, terms, p)
-    groups = stored(visits(index, terms), "lexical-visits").withColumn("level", _level("reach"))
-    levels = stored(groups.groupBy("item", "level").agg(F.sum("postings").alias("postings")), "lexical-levels")
-    lowest = levels.groupBy("item").agg(F.min("level").alias("lowest"))
-    found, wanted, visited = [], FIRST_POSTINGS * p.k, None
-    while True:
-        # the last level that each open query visits now; those from ``since`` on were visited before
-        left = levels if visited is None else levels.join(visited, "item").filter("level < since").drop("since")
-        limits = _limits(left, wanted).withColumnRenamed("level", "until")
-        limits = limits.withColumn("since", F.lit(None).cast("int")) if visited is None else limits.join(visited, "item")
-        limits = stored(limits, "lexical-limits")
-        if limits.isEmpty():
-            break
-        step = groups.join(limits, "item").filter("level >= until and (since is null or level < since)")
-        scores = stored(_scored(index, groups, step), "lexical-scores")
-        found.append(scores)
-        # queries that have met k documents need only what reaches their k-th score; the others go on
-        so_far = reduce(DataFrame.unionByName, found).groupBy("item", "row", "id").agg(F.max("score").alias("score"))
-        ranked = stored(so_far.withColumn("rank", best_first(p.k)).filter(F.col("rank") <= p.k), "lexical-best")
-        kth = ranked.filter(F.col("rank") == p.k).select("item", F.col("score").alias("limit"))
-        rest = limits.join(kth, "item").select("item", F.col("until").alias("since"), "limit")
-        last = groups.join(rest, "item").filter((F.col("level") < F.col("since")) & (F.col("reach") >= F.col("limit")))
-        found.append(stored(_scored(index, groups, last), "lexical-certain"))
-        short = limits.drop("since").join(kth, "item", "left_anti").join(lowest, "item").filter("until > lowest")
-        visited = stored(short.select("item", F.col("until").alias("since")), "lexical-open")
-        if visited.isEmpty():
-            break
-        wanted *= MORE_POSTINGS
+    index, weights = stratified_index(docs, terms, p)
+    asked = terms.join(weights, "term").select("item", "term", (F.col("q") * F.col("w")).alias("gain"))
+    pairs = asked.count()
+    blocks = max(1, -(-pairs // PAIRS_OF_BLOCK))
+    asked = stored(asked.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks))), "lexical-asked")
+    found = spark.createDataFrame([], FOUND)
+    for number in range(blocks):
+        rows = asked.filter(F.col("block") == number).select("item", "term", "gain").collect()  # of one block
+        if rows:
+            best = index.mapInArrow(_visited(spark.sparkContext.broadcast(Block.of(rows)), p.k), FOUND)
+            found = found.unionByName(stored(best, "lexical-found") if blocks > 1 else best)
     names = terms.select("item", "item_id").distinct()
-    if not found:
-        return names.select("item_id", F.lit(1).alias("rank"), F.lit(0).cast("bigint").alias("doc_id"), F.lit(0).cast("bigint").alias("score")).limit(0)
-    every = reduce(DataFrame.unionByName, found).groupBy("item", "row", "id").agg(F.max("score").alias("score"))
-    ranked = every.withColumn("rank", best_first(p.k)).filter(F.col("rank") <= p.k)
+    order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("id"), "row")
+    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= p.k)
     return ranked.join(names, "item").select("item_id", "rank", F.col("id").alias("doc_id"), "score")
