@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from oracle.base import LOADED, derived, lenient, strict, strict_rate
+from oracle.operations import operation_statements
 
 SALES = "sale_id, transaction_id, sale_date, store_id, customer_id, employee_id, product_id"
 SALE_PRICES = "quantity, unit_price, discount_amount, sale_amount, payment_method, sales_channel"
@@ -307,8 +308,6 @@ def operators() -> dict[str, str]:
         "temp_view_query": strict("""
             select store_region, count(*) as stores, cast(sum(total_returns) as bigint) as total_returns
             from mart_store group by 1"""),
-        "weighted_sample": derived(
-            "select count(*) // 10 as sampled, count(*) // 10 as distinct_sales from sales"),
         "copy_into_incremental": derived("select *, true as load_metadata_present from returns"),
         "list_stage": """
             select distinct table_name || '.parquet' as file_name, true as has_content
@@ -401,4 +400,5 @@ def faulty() -> dict[str, str]:
 
 
 def statements() -> dict[str, str]:
-    return {**layers(), **marts(), **analysis(), **reports(), **quality(), **operators(), **faulty()}
+    found = {**layers(), **marts(), **analysis(), **reports(), **quality(), **operators(), **faulty(), **operation_statements()}
+    return found | {"report_required_inputs": found["report_kpis"]}

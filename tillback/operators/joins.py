@@ -29,6 +29,53 @@ def attach(
     return joined.drop("_lookup_key")
 
 
+# Bounds of what a split join takes from its keys: slots of the filter, and how frequent a key must be to be split.
+FILTER_SLOTS = 1_048_576
+HEAVY_SHARE = 100
+SALTS = 64
+
+
+def attach_split(
+    facts: DataFrame, lookup: DataFrame, key: str, attributes: dict[str, str], *,
+    heavy_share: int = HEAVY_SHARE, salts: int = SALTS,
+) -> DataFrame:
+    """The rows of ``attach`` for facts whose key is often missing, unknown or always the same.
+
+    Three parts of the facts are joined apart and put together again, so ``facts`` should be stored:
+
+    * rows without a key, or with one that the lookup surely lacks, have no match and are not moved.
+      A key is surely unknown if its hash falls into a slot that no lookup key has; of the slots, at most
+      ``FILTER_SLOTS`` numbers, the session may broadcast as many as its threshold allows;
+    * keys that hold more than one in ``heavy_share`` of all rows (so fewer than ``heavy_share`` keys)
+      are spread over ``salts`` tasks each, and their lookup rows are repeated for every salt;
+    * all others are joined by key.
+    """
+    picked = lookup.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("_lookup_key"), *[F.col(source).alias(name) for name, source in attributes.items()]
+    )
+    slot = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(FILTER_SLOTS)).cast("int")
+    taken = picked.select(F.pmod(F.xxhash64(F.col("_lookup_key").cast("string")), F.lit(FILTER_SLOTS)).cast("int").alias("_slot")).distinct()
+    sized = facts.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_heavy_key")).agg(F.count("*").alias("_n"))
+    total = facts.agg(F.count("*")).first()[0]
+    heavy = [row[0] for row in sized.filter(F.col("_n") * heavy_share > total).select("_heavy_key").collect()]
+
+    is_heavy = F.col(key).isin(heavy) if heavy else F.lit(False)
+    without = facts.filter(F.col(key).isNull())
+    light = facts.filter(F.col(key).isNotNull() & ~is_heavy).withColumn("_slot", slot)
+    unknown = light.join(taken, "_slot", "left_anti").drop("_slot")
+    likely = light.join(taken, "_slot", "left_semi").drop("_slot")
+    joined = likely.join(picked, likely[key] == picked["_lookup_key"], "left").drop("_lookup_key")
+    parts = [joined]
+    if heavy:
+        salted = facts.filter(is_heavy).withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+        repeated = picked.filter(F.col("_lookup_key").isin(heavy)).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        met = salted.join(repeated, (salted[key] == repeated["_lookup_key"]) & (salted["_salt"] == repeated["_salt"]), "left")
+        parts.append(met.drop("_lookup_key", "_salt"))
+    none = [F.lit(None).cast(picked.schema[name].dataType).alias(name) for name in attributes]
+    parts += [part.select("*", *none) for part in (without, unknown)]
+    return reduce(DataFrame.unionByName, parts).select(*facts.columns, *attributes)
+
+
 def totals_by_key(key: str, *sides: tuple[DataFrame, str, dict[str, Column]]) -> DataFrame:
     """Sums of several facts per key in one pass.
 

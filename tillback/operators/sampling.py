@@ -13,8 +13,9 @@ BUCKETS_PER_OCTAVE = 16_384
 
 
 def uniform(seed: int, label: str, key: str) -> str:
-    """SQL text of a number in [0, 1)."""
-    return f"(shiftrightunsigned(xxhash64({seed}L, '{label}', {key}), 11) * 1.1102230246251565E-16D)"
+    """SQL text of a number in [0, 1): 52 bits of a digest, which any engine can recompute."""
+    digest = f"md5(concat_ws('|', '{seed}', '{label}', cast({key} as string)))"
+    return f"(cast(conv(substr({digest}, 1, 13), 16, 10) as double) / 4503599627370496D)"
 
 
 def sample_exact(df: DataFrame, key: str, count, *, seed: int, label: str, weight: str = "1.0D") -> DataFrame:

@@ -9,6 +9,7 @@ from tillback.domains import (
     PAYMENT_METHODS, PRIMARY_KEYS, RETURN_CHANNELS, RETURN_REASONS, SALES_CHANNELS, TABLES, columns,
 )
 from tillback.operators import quality
+from tillback.operators.rules import TableRules, check_all
 
 # Columns without nulls, per model.
 NOT_NULL = {
@@ -73,6 +74,34 @@ NOT_EMPTY = """
 IDENTIFYING_TOKENS = ["name", "email", "phone", "address"]
 
 
+def compiled_rules() -> dict[str, TableRules]:
+    """All rules of the strict lane by model."""
+    found: dict[str, TableRules] = {model: TableRules() for model in [*NOT_NULL, *NOT_EMPTY]}
+    for model, names in NOT_NULL.items():
+        found[model].not_null = names.split()
+    for model, values in ACCEPTED.items():
+        found[model].accepted = values
+    for model, column in UNIQUE.items():
+        found[model].unique = column
+    for model, parents in PARENTS.items():
+        found[model].parents = {column: (f"stg_{parent}", PRIMARY_KEYS[parent]) for column, parent in parents.items()}
+    for model in NOT_EMPTY:
+        found[model].not_empty = True
+    return found
+
+
+def every_rule(models) -> DataFrame:
+    """Summary of all rules, each model in one scan."""
+    return check_all(models, compiled_rules())
+
+
+def identifying_columns(tables: dict[str, DataFrame]) -> DataFrame:
+    """Columns whose names hold a token that customer data must not have, by table."""
+    found = [(name, column) for name, frame in tables.items() for column in quality.forbidden_columns(frame, IDENTIFYING_TOKENS)]
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(found, "table_name string, column_name string")
+
+
 def not_null(models) -> DataFrame:
     return quality.union_all([
         quality.not_null(models[model], model, names.split()) for model, names in NOT_NULL.items()

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillback.functions.measures import rounded_sum, safe_rate
+from tillback.operators.distinct import FIRST_MARKS, marked_count
 from tillback.operators.joins import attach, full_merge
 from tillback.plans.silver import CLEANED_POLICY
 
@@ -33,13 +34,24 @@ RETURN_METRICS = {
 }
 
 
-def metrics_by(facts: DataFrame, key: Column, catalogue: dict, names: str) -> DataFrame:
+# What distinct returns are counted by, and the column that each mart groups by.
+COUNTED_BY = {
+    "return_date": "return_date", "product_id": "product_id", "store_id": "store_id", "employee_id": "employee_id",
+    "return_reason": "coalesce(return_reason, 'unknown')",
+}
+
+
+def metrics_by(facts: DataFrame, key: Column, catalogue: dict, names: str, counted: str = "") -> DataFrame:
     """The named metrics per key.
 
-    Counting distinct ids moves each id once to find repeats. Facts stored bucketed by their id
-    already lie that way, and then only partial sums move.
+    Counting distinct ids moves each id once to find repeats. Sales stored bucketed by their id lie
+    that way already. Returns that carry marks for ``counted`` have them added up, and only partial
+    sums move.
     """
-    return facts.groupBy(key).agg(*[catalogue[name]().alias(name) for name in names.split()])
+    metrics = {name: catalogue[name]() for name in names.split()}
+    if "return_count" in metrics and counted and FIRST_MARKS in facts.columns:
+        metrics["return_count"] = marked_count(list(COUNTED_BY).index(counted))
+    return facts.groupBy(key).agg(*[metric.alias(name) for name, metric in metrics.items()])
 
 
 def with_rates(mart: DataFrame) -> DataFrame:
@@ -54,7 +66,7 @@ def _mart(key: str, dimension: DataFrame | None, sales: DataFrame, returns: Data
     """Dimension, sales and returns merged on ``key``: unknown keys stay, with null attributes."""
     sides = [
         metrics_by(sales, F.col(sale_key or key).alias(key), SALE_METRICS, sale_names),
-        metrics_by(returns, F.col(return_key or key).alias(key), RETURN_METRICS, return_names),
+        metrics_by(returns, F.col(return_key or key).alias(key), RETURN_METRICS, return_names, return_key or key),
     ]
     if dimension is not None:
         sides.insert(0, dimension)
@@ -101,7 +113,7 @@ def gold_employee_return_activity(employees: DataFrame, sales: DataFrame, return
 def gold_return_reason_summary(returns: DataFrame) -> DataFrame:
     """All return metrics per reason; a missing reason is called unknown."""
     reason = F.coalesce("return_reason", F.lit("unknown")).alias("return_reason")
-    return metrics_by(returns, reason, RETURN_METRICS, " ".join(RETURN_METRICS))
+    return metrics_by(returns, reason, RETURN_METRICS, " ".join(RETURN_METRICS), "return_reason")
 
 
 # Context and output columns of the exception table.

@@ -2,7 +2,9 @@
 
 Each layer is written once and read back, so that later models scan only the columns they need and
 never repeat a join. With ``buckets`` the fact tables are stored bucketed by sale id: the joins
-between sales and returns and the distinct counts of sales then need no shuffle of the facts.
+between sales and returns and the distinct counts of sales then need no shuffle of the facts. Returns
+are stored with marks at the first row of an id per day, product, store, employee and reason, so that
+distinct counts of returns are sums of marks.
 """
 
 from __future__ import annotations
@@ -12,11 +14,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tillback.domains import DIMENSIONS
+from tillback.operators.distinct import with_first_marks
 from tillback.plans import checks, gold, marts
 from tillback.plans.intermediate import int_returns_enriched, int_sales_enriched, int_sales_returns_joined
 from tillback.plans.silver import cleaned, silver_returns, silver_sales
 from tillback.plans.staging import Staged
 from tillback.sources.tables import FORMAT, create_namespace, layer_schema, write_overwrite
+from tillback.sources.versions import Change
 
 
 @dataclass
@@ -27,12 +31,28 @@ class Store:
     fmt: str = FORMAT
     buckets: int = 0
 
+    def prepare(self, *schemas: str) -> None:
+        create_namespace(self.spark, *dict.fromkeys(schemas))
+
     def keep(self, df: DataFrame, schema: str, name: str, *, fact: bool = False) -> DataFrame:
         table = f"{schema}.{name}"
         write_overwrite(df, table, fmt=self.fmt, bucket_by="sale_id" if fact else None, buckets=self.buckets)
         return self.spark.table(table)
 
 
+class VersionedStore:
+    """Tables of a change: none is visible before all are, and a failed build leaves the old ones."""
+
+    def __init__(self, change: Change):
+        self._change = change
+
+    def prepare(self, *schemas: str) -> None:
+        """Versioned tables lie in one folder and need no schema."""
+
+    def keep(self, df: DataFrame, schema: str, name: str, *, fact: bool = False) -> DataFrame:
+        return self._change.write(name, df)
+
+
 # Marts of the strict lane over any mapping of models (staged, intermediate) by name.
 MART_PLANS = {
     "mart_daily_sales_returns_summary": lambda models: marts.daily_sales_returns_summary(
@@ -53,11 +73,11 @@ MART_PLANS = {
 
 
 def build_strict(
-    store: Store, raw, target: str, intermediate: str | None = None, mart_schema: str | None = None
+    store: Store | VersionedStore, raw, target: str, intermediate: str | None = None, mart_schema: str | None = None
 ) -> dict[str, DataFrame]:
     """Intermediate and mart tables of the strict lane from six raw tables."""
     middle, last = layer_schema(intermediate, target), layer_schema(mart_schema, target)
-    create_namespace(store.spark, *dict.fromkeys([middle, last]))
+    store.prepare(middle, last)
     staged = Staged(raw)
     built: dict[str, DataFrame] = {f"stg_{table}": staged[table] for table in ("sales", "returns", *DIMENSIONS)}
 
@@ -79,11 +99,12 @@ def check_strict(built: dict[str, DataFrame], raw) -> DataFrame:
     return checks.quality.union_all([rule(models) for rule in rules])
 
 
-def build_lenient(store: Store, bronze, schema: str) -> dict[str, DataFrame]:
+def build_lenient(store: Store | VersionedStore, bronze, schema: str) -> dict[str, DataFrame]:
     """Silver and gold tables of the lenient lane from six bronze tables."""
-    create_namespace(store.spark, schema)
+    store.prepare(schema)
     sales = store.keep(silver_sales(bronze["sales"]), schema, "silver_sales", fact=True)
-    returns = store.keep(silver_returns(bronze["returns"], sales), schema, "silver_returns", fact=True)
+    marked = with_first_marks(silver_returns(bronze["returns"], sales), "return_id", gold.COUNTED_BY)
+    returns = store.keep(marked, schema, "silver_returns", fact=True)
     dimensions = {
         table: store.keep(cleaned(bronze[table], table), schema, f"silver_{table}") for table in DIMENSIONS
     }

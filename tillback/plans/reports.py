@@ -75,6 +75,14 @@ def shown(df: DataFrame, wanted: list[str]) -> DataFrame:
     return project_or_all(df, wanted)[0]
 
 
+def missing_report(marts: dict[str, DataFrame]) -> DataFrame:
+    """Columns that a report table wants and a mart lacks: what is said beside a table shown whole instead."""
+    wanted = {"products": PRODUCT_REQUIRED, "stores": STORE_SHOWN, "exceptions": EXCEPTION_SHOWN, "employees": EMPLOYEE_SHOWN}
+    missing = [(name, column) for name, mart in marts.items() for column in project_or_all(normalize_columns(mart), wanted[name])[1]]
+    spark = next(iter(marts.values())).sparkSession
+    return spark.createDataFrame(missing, "report_table string, missing_column string")
+
+
 def ordered(mart: str, df: DataFrame) -> DataFrame:
     return normalize_columns(df).orderBy(*mart_order(mart))
 

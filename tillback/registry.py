@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillback.domains import PAYMENT_METHODS, TABLES, columns
+from tillback.operations import GOLD_COUNTED, OPERATIONS, attach_hot_keys, quality_all, stored_gold
 from tillback.operators import quality
 from tillback.operators.joins import attach, full_merge
 from tillback.operators.quality import row_counts, union_all, unique
@@ -31,8 +32,8 @@ from tillback.plans.staging import Staged
 from tillback.sources.adapter import RetailTables
 from tillback.sources.landing import copy_into, list_stage, write_csv
 from tillback.sources.scratch import settled, shared_folder
-from tillback.sources.tables import publish_views
-from tillback.sources.variants import RepeatedTables, SpoiledTables
+from tillback.sources.tables import copy_to_bronze, create_namespace, publish_views
+from tillback.sources.variants import DoubledReturns, HotTables, RepeatedTables, SpoiledTables
 from tillback.streaming.incremental import copy_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -339,10 +340,18 @@ def _copy_into(table: str):
 
 
 def _bronze(table: str):
+    """The raw table as a named source, copied to the bronze layer and read from there."""
     def run(lanes: Lanes) -> DataFrame:
-        target = shared_folder(lanes.spark, f"bronze-{table}")
-        lanes.raw[table].write.mode("overwrite").parquet(target)
-        return lanes.spark.read.parquet(target)
+        layer = f"bronze_{uuid.uuid4().hex}"
+        source = f"{table}_{layer}"
+        publish_views({source: lanes.raw[table]})
+        create_namespace(lanes.spark, layer)
+        try:
+            target = copy_to_bronze(lanes.spark, {table: source}, layer)[table]
+            return settled(lanes.spark.table(target), f"bronze-{table}")
+        finally:
+            lanes.spark.sql(f"DROP SCHEMA {layer} CASCADE")
+            lanes.spark.catalog.dropTempView(source)
 
     return run
 
@@ -372,12 +381,11 @@ SOURCES = {
 
 
 def _weighted_sample(lanes: Lanes) -> DataFrame:
-    """A tenth of all sales, drawn without replacement by amount: its size and distinct sales."""
+    """A tenth of all sales, drawn without replacement by amount."""
     sales = settled(lanes.raw["sales"].select("sale_id", "sale_amount"), "sample-source")
     tenth = sales.agg(F.expr("count(*) div 10")).scalar()
     weight = "greatest(cast(sale_amount as double), 0.01D) / 1000"
-    drawn = sample_exact(sales, "sale_id", tenth, seed=SAMPLE_SEED, label="sample", weight=weight)
-    return drawn.agg(F.count("*").alias("sampled"), F.countDistinct("sale_id").alias("distinct_sales"))
+    return sample_exact(sales, "sale_id", tenth, seed=SAMPLE_SEED, label="sample", weight=weight)
 
 
 REPEATED_KEY_MARTS = [
@@ -420,11 +428,18 @@ VIOLATIONS = {
 }
 
 
+EVERY_RULE = quality_all(Models)
+
+
 def all_queries() -> dict[str, Query]:
-    found = {**_layers(), **MARTS, **ANALYSIS, **REPORTS, **QUALITY, **OPERATORS, **SOURCES, "weighted_sample": _weighted_sample}
+    found = {**_layers(), **MARTS, **ANALYSIS, **REPORTS, **QUALITY, **OPERATORS, **SOURCES, **OPERATIONS}
+    found |= {"weighted_sample": _weighted_sample, "quality_all": EVERY_RULE}
     return {
         **{name: _on_lanes(build) for name, build in found.items()},
         **{name: _on_lanes(build, RepeatedTables) for name, build in REPEATED_KEYS.items()},
         **{name: _on_lanes(build, SpoiledTables) for name, build in VIOLATIONS.items()},
+        **{f"{name}_doubled": _on_lanes(stored_gold(name), DoubledReturns) for name in GOLD_COUNTED},
+        "quality_all_spoiled": _on_lanes(EVERY_RULE, SpoiledTables),
+        "attach_hot_keys": _on_lanes(attach_hot_keys, HotTables),
         "list_stage": _stage_files,
     }

@@ -41,4 +41,14 @@ def settled(df: DataFrame, label: str) -> DataFrame:
     """
     path = shared_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.stored_at = path
+    return kept
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of settled frames that nothing reads any more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(frame.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -58,3 +58,44 @@ class SpoiledTables:
             f"case when {spoiled[name][0]} then {spoiled[name][1]} else {name} end as {name}" if name in spoiled else name
             for name in rows.columns
         ])
+
+
+# Keys of a table that many rows lack or share. The conditions are read in order.
+HOT = {
+    "returns": {
+        "sale_id": [("return_quantity % 5 < 2", "cast(null as string)"), ("return_reason = 'defective'", "'gone-' || sale_id")],
+        "product_id": [("return_quantity % 3 = 0", "'P1'")],
+    },
+}
+
+# Rows that stand twice under one id, the second time with another store, employee and reason.
+DOUBLED_RETURNS = "return_reason = 'damaged' or return_reason = 'wrong_size'"
+DOUBLE = {"store_id": "'S1'", "return_reason": "case when return_reason = 'damaged' then 'damaged' else 'other' end", "employee_id": "'E1-1'"}
+
+
+class HotTables:
+    """Raw tables with the keys of ``HOT``."""
+
+    def __init__(self, raw):
+        self._raw = raw
+
+    def __getitem__(self, table: str) -> DataFrame:
+        rows, hot = self._raw[table], HOT.get(table, {})
+        return rows.selectExpr(*[
+            f"case {' '.join(f'when {condition} then {value}' for condition, value in hot[name])} else {name} end as {name}" if name in hot else name
+            for name in rows.columns
+        ])
+
+
+class DoubledReturns:
+    """Raw tables in which some returns stand twice under the same id."""
+
+    def __init__(self, raw):
+        self._raw = raw
+
+    def __getitem__(self, table: str) -> DataFrame:
+        rows = self._raw[table]
+        if table != "returns":
+            return rows
+        again = rows.filter(DOUBLED_RETURNS).selectExpr(*[f"{DOUBLE[name]} as {name}" if name in DOUBLE else name for name in rows.columns])
+        return rows.unionByName(again)
