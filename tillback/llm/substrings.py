@@ -9,7 +9,7 @@ another place. Equal windows always share an anchor, so none is missed.
 
 Within a slice of texts equal anchors (and windows) are combined before the shuffle: a passage that
 stands in a third of all documents sends one marked row per slice, and its other places travel
-under keys of their own.
+under keys of their own. Of the texts only those that may have hits are moved to be joined with them.
 
 Defined results: a null text is an empty one and has no words. Windows are judged on the input.
 Rows with the same id are told apart by their text; equal rows are two places. Rows without an id
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillback.llm.frames import by_slices, keyed_texts
+from tillback.llm.frames import by_slices, keyed_texts, stored
 from tillback.llm.words import U64, Words, constants, mixed
 
 # Every difference modulo the period occurs between two of the cover's positions.
@@ -33,6 +33,7 @@ PERIOD = 21
 COVER = (0, 1, 4, 14, 16)
 IN_COVER = np.isin(np.arange(PERIOD), COVER)
 
+FILTER_SLOTS = 2_097_152  # bound of the numbers that are broadcast to tell texts without hits
 PLACES = "h bigint, doc_id bigint, place bigint"
 TEXT_BITS = 30  # of a text's hash, which tells rows of one id apart; below it: found twice, position
 
@@ -127,6 +128,20 @@ def _repeated(found: DataFrame) -> DataFrame:
     return named.groupBy("doc_id", "t").agg(F.collect_list("pos").alias("hits"))
 
 
+def _slot():
+    return F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_SLOTS)).cast("int").alias("slot")
+
+
+def _parted(texts: DataFrame, hits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Texts that may have hits, and texts that surely have none; the latter need not move to be joined.
+
+    Told by slots that ids with hits fall into, of which there is a fixed number at most.
+    """
+    taken = F.broadcast(hits.select(_slot()).distinct())
+    slotted = texts.select("*", _slot())
+    return tuple(slotted.join(taken, "slot", how).drop("slot") for how in ("left_semi", "left_anti"))
+
+
 def _beside(texts: DataFrame, hits: DataFrame, how: str) -> DataFrame:
     right = hits.select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"), "hits").hint("shuffle_hash")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t"))
@@ -150,7 +165,10 @@ def without_repeats(docs: DataFrame, window: int = 35, *, with_text: bool = True
     if window < PERIOD:
         raise ValueError(f"a window has at least {PERIOD} words")
     texts = _told_apart(keyed_texts(docs))
-    hits = _repeated(texts.mapInArrow(_anchors(window), PLACES))
-    starts = _repeated(_beside(texts, hits, "inner").mapInArrow(_extended(window), PLACES))
+    hits = stored(_repeated(texts.mapInArrow(_anchors(window), PLACES)), "passage-anchors")
+    near, _ = _parted(texts, hits)
+    starts = stored(_repeated(_beside(near, hits, "inner").mapInArrow(_extended(window), PLACES)), "passage-starts")
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + (", kept_text string" if with_text else "")
-    return _beside(texts, starts, "left").mapInArrow(_without(window, with_text), schema)
+    touched, whole = _parted(texts, starts)
+    rows = _beside(touched, starts, "left").unionByName(whole.select("doc_id", "t", "text", F.lit(None).cast("array<int>").alias("hits")))
+    return rows.mapInArrow(_without(window, with_text), schema)
