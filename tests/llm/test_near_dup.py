@@ -7,7 +7,7 @@ import pyarrow as pa
 from texts import frame, odd_rows, prose
 
 from tillback.llm.graph import components
-from tillback.llm.near_dup import NearDup, join_keys, near_duplicates
+from tillback.llm.near_dup import NearDup, join_keys, near_duplicates, without_near_duplicates
 
 
 def changed(text, share, rng):
@@ -111,3 +111,29 @@ def test_hash_of_words_does_not_depend_on_the_slice():
     alone = Words(pa.array(["cd ab é"]))
     assert together.hashes[2:].tolist() == alone.hashes.tolist() == [together.hashes[1], together.hashes[0], alone.hashes[2]]
     assert together.first.tolist() == [0, 2, 2, 5]
+
+
+def test_rows_that_share_an_id_are_nodes_of_their_own(spark):
+    a, b = prose(1, 60), prose(2, 60)
+    rows = [(3, a), (7, a), (7, b), (9, b), (9, b), (None, a), (None, a), (4, None), (4, None)]
+    docs = frame(spark, rows)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs, NearDup(words=4)).collect()), key=str)
+    assert got == sorted([
+        (3, 57, 3, True), (7, 57, 3, False), (7, 57, 7, True), (9, 57, 7, False), (9, 57, 7, False),
+        (None, 57, None, True), (None, 57, None, True), (4, 0, 4, True), (4, 0, 4, True),
+    ], key=str)
+    kept = without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(3, a), (7, b), (None, a), (None, a), (4, None), (4, None)])
+
+
+def test_one_of_equal_rows_stays(spark):
+    a = prose(1, 60)
+    docs = frame(spark, [(3, a)] * 3 + [(5, a), (3, a + " tail")])
+    kept = [(r.doc_id, r.text) for r in without_near_duplicates(docs).collect()]
+    assert len(kept) == 1 and kept[0][0] == 3
+
+
+def test_dedup_of_columns_with_clashing_names(spark):
+    docs = spark.createDataFrame([(k, prose(1, 60), "x", k) for k in range(3)], "doc_id bigint, text string, _text_hash string, t int")
+    assert [tuple(r) for r in without_near_duplicates(docs).collect()] == [(0, prose(1, 60), "x", 0)]

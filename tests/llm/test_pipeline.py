@@ -40,5 +40,15 @@ def test_stages_on_odd_and_empty_rows(spark, tmp_path, odd, empty):
 
 
 def test_queries_are_named_by_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(STATEMENTS) <= set(QUERIES)
+
+
+def test_no_text_is_lost_where_ids_repeat(spark, tmp_path):
+    a, b = prose(301, 70), prose(302, 70)
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = frame(spark, [(3, a), (7, a), (7, b), (9, b), (None, prose(303, 70))])
+    kept = corpus_pipeline.near_dedup(spark, docs, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(3, a), (7, b), (None, prose(303, 70))])
+    lines = corpus_pipeline.line_dedup(spark, docs, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.text) for r in lines) == Counter([(None, prose(303, 70)), (3, a), (7, b)])

@@ -34,6 +34,41 @@ def test_search_equals_brute_force(spark, cells):
     assert got == brute(rows)
 
 
+def test_large_components_and_repeated_queries(spark):
+    big = [(0, [300000.0, 0.0], 0), (1, [1.0, 2.0], 0), (2, [-1.0, 5.0], 0), (50, [300000.0, -7.0], 0), (3, [2.0**40, 1.0], 0), (100, [-(2.0**30), 2.0**30], 0)]
+    rng = np.random.default_rng(5)
+    big += [(1000 + k, [float(v) for v in rng.normal(0, 10.0 ** (k % 9), 2)], 0) for k in range(200)]
+    df = spark.createDataFrame(big, "vec_id bigint, embedding array<float>, label int")
+    got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in top_k(df, F.col("vec_id") % 50 == 0, Search(page=64, block=8)).collect()}
+    assert got == brute([(vec, [float(np.float32(v)) for v in x], 0) for vec, x, _ in big])
+    twice = spark.createDataFrame([(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [3.0, 0.0]), (2, [0.0, 2.0])], "vec_id bigint, embedding array<float>")
+    assert [(r.vec_id, r.score) for r in top_k(twice, F.col("vec_id") % 50 == 0).orderBy("rank").collect()] == [(2, 131072), (1, 0)]
+
+
+def plain_chat(rows):
+    """All six columns from the turns themselves; only the size of the output is taken from the template."""
+    turns = {}
+    for conv, turn, role, text in rows:
+        turns.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    result = {}
+    for conv, found in turns.items():
+        own = [t[2:] for t in sorted(found)]
+        read = "".join(f"{role}\n{text}\n" for role, text in own)
+        learned = "".join(text for role, text in own if role == "assistant")
+        sha = [hashlib.sha256(x.encode()).hexdigest() for x in (read, learned)]
+        result[conv] = (len(own), sha[0], len(learned), sha[1], len(chat_markup(own)))
+    return result
+
+
+def test_digests_equal_those_of_the_turns(spark):
+    rng, rows = random.Random(16), []
+    for conv in range(120):
+        for turn in range(rng.randint(1, 7)):
+            rows.append((conv, rng.choice([turn, turn, None]), rng.choice(["user", "assistant", "assistant", None, "system\n"]), rng.choice([None, "", "é", *HOSTILE, "long " * 3000])))
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    assert {r[0]: tuple(r)[1:] for r in chat_digest(formatted_chats(df)).collect()} == plain_chat(rows)
+
+
 def test_search_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
     assert top_k(df, F.col("vec_id") % 50 == 0).collect() == []

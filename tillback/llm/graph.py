@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tillback.llm.frames import stored
+from tillback.sources.scratch import discard
 
 MAX_HUB_ROUNDS = 3
 PAIRS_PER_MEMBER = 6
@@ -34,7 +35,10 @@ def components(links: DataFrame, label: str) -> DataFrame:
         hooked = large.join(least, "b").select(F.col("a").alias("x"), F.col("b").alias("y"), "m")
         small = hooked.select(F.explode(F.array(F.struct("m", F.col("y").alias("b")), F.struct("m", F.col("x").alias("b")))).alias("e"))
         small = _ordered(small.select(F.col("e.m").alias("a"), F.col("e.b").alias("b")))
+        before = edges
         edges, now = _summed(small, label)
+        if seen is not None:
+            discard(before)
         if now == seen:
             break
         seen = now
@@ -55,12 +59,17 @@ def _summed(edges: DataFrame, label: str) -> tuple[DataFrame, dict]:
     return kept, watched.get
 
 
-def linked(members: DataFrame, prepare: Callable[[DataFrame], DataFrame], percent: int, label: str) -> DataFrame:
+def linked(
+    members: DataFrame, prepare: Callable[[DataFrame], DataFrame], percent: int, label: str,
+    unpack: Callable[[str], Column] | None = None,
+) -> DataFrame:
     """(id, root) of ids that links within common buckets join; ids without a link are left out.
 
-    ``members`` holds (key, id): ids of one key are candidates for each other. ``prepare`` gets the
-    ids that share a bucket and gives their sets (id, shingles). Two ids are linked when their sets
-    have a Jaccard similarity of at least ``percent`` / 100.
+    ``members`` holds (key, id) and may hold n, the size of the id's set: ids of one key are candidates
+    for each other. ``prepare`` gets the ids that share a bucket (with n) and gives their stored sets: (id, shingles), or
+    (id, n, packed) with ``unpack``, which makes a set from the name of a packed column, so that small
+    packed values are moved instead of sets. Two ids are linked when their sets have a Jaccard
+    similarity of at least ``percent`` / 100.
 
     Buckets are not paired with themselves. A round compares each bucket's members with one hub (the
     member that most others meet). Those linked to it are one component. Of the others every further
@@ -69,27 +78,35 @@ def linked(members: DataFrame, prepare: Callable[[DataFrame], DataFrame], percen
     for each element outside the hub, and y needs only as many of its rarest elements there as prefix
     filtering asks for. A large group of near copies of one text falls into small buckets of texts with the
     same change. When what is left is little, its pairs from different components are compared. No
-    link between components is lost.
+    link between components is lost. Stored steps are deleted when nothing reads them any more.
     """
+    known = [name for name in ("id", "n") if name in members.columns]
     state = stored(_open_buckets(members.withColumn("comp", F.col("id"))), f"{label}-open")
-    sets = prepare(state.select("id").distinct())
-    links, rooted, extra, bound = None, None, None, None
+    kept = prepare(state.select(*known).distinct())
+    sets = kept
+    if unpack is None:
+        sets, unpack = kept.select("id", F.size("shingles").alias("n"), F.col("shingles").alias("packed")), F.col
+    links, rooted, extra, bound, used = None, None, None, None, [kept]
     for step in range(MAX_HUB_ROUNDS + 1):
         pairs, rows = _left_to_compare(state)
         bound = PAIRS_PER_MEMBER * rows if bound is None else bound
         last = step == MAX_HUB_ROUNDS or pairs <= bound
+        used.append(state)
         if last:
             asked = _pairs_between(state)
             asked = asked if extra is None else asked.unionByName(extra).distinct()
-            found = stored(confirmed(asked, sets, percent), f"{label}-found")
+            found = stored(confirmed(asked, sets, percent, unpack), f"{label}-found")
+            used.append(found)
         else:
-            compared = stored(_with_hubs(state, sets, percent), f"{label}-hubs")
+            compared = stored(_with_hubs(state, sets, percent, unpack), f"{label}-hubs")
+            used.append(compared)
             found = compared.filter("linked").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
             more = _smaller_partners(compared)
             extra = more if extra is None else extra.unionByName(more)
         links = found if links is None else links.unionByName(found)
         rooted = components(links, label)
         if last:
+            discard(*used)
             return rooted
         state = stored(_open_buckets(_finer(compared, rooted, step)), f"{label}-open")
 
@@ -99,32 +116,33 @@ def least_common(percent: int, sizes: Column) -> Column:
     return F.ceil(percent * sizes / (100 + percent)).cast("int")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, unpack: Callable[[str], Column]) -> DataFrame:
     """Pairs (a, b) whose sets have a Jaccard similarity of at least ``percent`` / 100."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+    left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("packed").alias("pa"))
+    right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("packed").alias("pb"))
     joined = pairs.join(left, "a").join(right, "b")
-    joined = joined.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"), (F.size("sa") + F.size("sb")).alias("total"))
+    common = F.size(F.array_intersect(unpack("pa"), unpack("pb")))
+    joined = joined.select("a", "b", common.alias("common"), (F.col("na") + F.col("nb")).alias("total"))
     return joined.filter((100 + percent) * F.col("common") >= percent * F.col("total")).select("a", "b")
 
 
-def _with_hubs(state: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _with_hubs(state: DataFrame, sets: DataFrame, percent: int, unpack: Callable[[str], Column]) -> DataFrame:
     """Every member of a bucket next to the bucket's hub: are they linked, and what lies outside the hub?
 
     Any further link of the member must hit one of ``take`` elements outside the hub, whatever their
     order. ``wide`` marks members for which that holds only for partners no smaller than the hub.
     """
-    sized = state.join(sets.select("id", F.size("shingles").alias("n")), "id")
+    sized = state.select("key", "id").join(sets.select("id", "n"), "id")
     counts = sized.groupBy("key").agg(F.count("*").alias("members"), F.min("n").alias("least"))
     counted = state.select("key", "id").join(counts, "key")
     known = counted.groupBy("id").agg(F.sum("members").alias("known"))
     best = counted.join(known, "id").groupBy("key", "least").agg(F.max(F.struct("known", (-F.col("id")).alias("less"))).alias("h"))
     hubs = best.select("key", "least", (-F.col("h.less")).alias("hub"))
     pairs = state.select("key", "id").join(hubs, "key").filter("id <> hub").groupBy("hub", "id").agg(F.min("least").alias("least"))
-    joined = pairs.join(sets.select(F.col("id").alias("hub"), F.col("shingles").alias("sh")), "hub").join(sets, "id")
+    hubs = sets.select(F.col("id").alias("hub"), F.col("n").alias("m"), F.col("packed").alias("hub_packed"))
+    joined = pairs.join(hubs, "hub").join(sets, "id")
     joined = joined.select(
-        "hub", "id", "least", F.size("shingles").alias("n"), F.size("sh").alias("m"),
-        F.array_except("shingles", "sh").alias("rest"),
+        "hub", "id", "least", "n", "m", F.array_except(unpack("packed"), unpack("hub_packed")).alias("rest"),
     ).withColumn("common", F.col("n") - F.size("rest"))
     needed = least_common(percent, F.col("n") + F.col("m")) - F.col("common")
     needed_least = least_common(percent, F.col("n") + F.col("least")) - F.col("common")

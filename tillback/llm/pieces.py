@@ -12,6 +12,10 @@ merging the two alone gives these two pieces back, and exactly one piece ends ev
 that way. Characters that no
 piece covers become bytes.
 
+For a model whose scores do add up (``additive``) the state of a prefix is its forward score, the best sum of
+piece scores over all its segmentations, and the piece that ends it there; of equal sums the one with the
+longest last piece counts. A character without a piece costs ``UNKNOWN_COST`` more than the worst piece.
+
 Defined results: a null or empty text has no ids. A literal word mark (U+2581) is decoded as a space.
 Rows keep their id, null or repeated, as it is. Extra columns are ignored. An empty table gives an
 empty result.
@@ -34,6 +38,7 @@ from tillback.llm.frames import keyed_texts, lists, slices
 MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
+UNKNOWN_COST = 10.0
 KEPT_WORDS, KEPT_PAIRS = 600_000, 1_000_000
 SLICE = 4_000_000
 
@@ -48,9 +53,11 @@ def model_path() -> str:
 class Pieces:
     """A model's pieces, and the encoding of words by forward states over prefixes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, additive: bool = False):
         import sentencepiece
 
+        self.additive = additive
+
         self.processor = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self.processor.id_to_piece(k) for k in range(self.processor.vocab_size())]
         special = [self.processor.is_control(k) or self.processor.is_unknown(k) or self.processor.is_byte(k) for k in range(len(names))]
@@ -125,6 +132,10 @@ class Pieces:
                 end -= len(last[end])
             yield word, pieces[::-1]
 
+    def encode_additive(self, words: list[str]) -> Iterator[tuple[str, list[str]]]:
+        """Best segmentations of sorted distinct words by sums of scores; forward scores of shared prefixes are kept."""
+        return best_segmentations(words, self.scores)
+
     def ids_of(self, pieces: list[str]) -> np.ndarray:
         ids: list[int] = []
         for piece in pieces:
@@ -147,7 +158,8 @@ class Pieces:
         distinct = set(units)
         if len(self.words) + len(distinct) > KEPT_WORDS:
             self.words = {}
-        for word, pieces in self.encode_sorted(sorted(distinct - self.words.keys())):
+        segmented = self.encode_additive if self.additive else self.encode_sorted
+        for word, pieces in segmented(sorted(distinct - self.words.keys())):
             self.words[word] = self.ids_of(pieces)
         place = {word: k for k, word in enumerate(distinct)}
         found = [self.words[word] for word in place]
@@ -165,6 +177,40 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
+def best_segmentations(words: list[str], scores: dict[str, float]) -> Iterator[tuple[str, list[str]]]:
+    """Every one of sorted distinct words with the segmentation of the largest sum of scores.
+
+    Viterbi over a depth-first walk of the words' trie: the forward scores of a prefix that a word
+    shares with the one before are there already.
+    """
+    longest = max(map(len, scores), default=1)
+    unknown = min(scores.values(), default=0.0) - UNKNOWN_COST
+    forward: list[tuple[float, int]] = [(0.0, 0)]  # for each prefix the best sum, and where its last piece begins
+    previous = ""
+    for word in words:
+        shared = 0
+        for a, b in zip(previous, word):
+            if a != b:
+                break
+            shared += 1
+        del forward[shared + 1 :]
+        for end in range(shared + 1, len(word) + 1):
+            best = (-np.inf, end - 1)
+            for begin in range(max(0, end - longest), end):
+                score = scores.get(word[begin:end])
+                if score is None and begin == end - 1:
+                    score = unknown
+                if score is not None and forward[begin][0] + score > best[0]:
+                    best = (forward[begin][0] + score, begin)
+            forward.append(best)
+        previous, pieces, end = word, [], len(word)
+        while end:
+            begin = forward[end][1]
+            pieces.append(word[begin:end])
+            end = begin
+        yield word, pieces[::-1]
+
+
 def _ragged(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Indexes of all elements of runs that begin at ``begins``."""
     ends = np.cumsum(sizes)
@@ -172,18 +218,18 @@ def _ragged(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def _pieces(path: str) -> Pieces:
-    return Pieces(path)
+def _pieces(path: str, additive: bool = False) -> Pieces:
+    return Pieces(path, additive)
 
 
-def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id and ``ids`` for every row of ``docs`` (doc_id, text)."""
+def encoded(docs: DataFrame, path: str | None = None, *, additive: bool = False) -> DataFrame:
+    """doc_id and ``ids`` for every row of ``docs`` (doc_id, text); ``additive`` for models whose scores add up."""
     path = path or model_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                ids, begins = _pieces(path).encode(part.column("text").to_pylist())
+                ids, begins = _pieces(path, additive).encode(part.column("text").to_pylist())
                 yield pa.record_batch({"doc_id": part.column("doc_id"), "ids": lists(ids, begins, pa.int32())})
 
     return keyed_texts(docs).mapInArrow(run, "doc_id bigint, ids array<int>")

@@ -9,10 +9,15 @@ their k-th product is the limit that the rest must reach to be read at all.
 Products are those of whole numbers floor(scale * x). Pages and blocks meet in a join on their
 numbers, so neither side is broadcast, and every task holds one page and one block.
 
-Defined results: vectors that are null, or hold a null, non-finite or (beyond 2**26 after scaling)
-too large component, take no part, nor do rows without an id. Only vectors of equal length meet. A
-query does not meet rows with its own id. Equal rows are candidates of their own. Ties go to the
-smaller id. Extra columns are ignored. An empty table gives an empty result.
+Bounds are taken in floating point, widened by what rounding may lose, and scores in whole numbers of
+38 digits, so large components are as exact as small ones.
+
+Defined results: vectors that are null, or hold a null or non-finite component, take no part, nor do
+rows without an id, nor vectors with a component that is no 62-bit number after scaling. A score
+beyond 64 bits is given as the nearest 64-bit number, but ranked by its value. Only vectors of equal
+length meet. A query does not meet rows with its own id. Equal rows are candidates of their own; of
+several queries with one id, the one with the smallest vector counts. Ties go to the smaller id. Extra columns
+are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,7 +47,7 @@ class Search:
 
 def whole_numbers(vectors: DataFrame, p: Search) -> DataFrame:
     """(vec_id, x): vectors as arrays of whole numbers; only those that take part."""
-    bad = "exists(embedding, v -> v is null or isnan(v) or abs(cast(v as double)) >= {0})".format(float(2**26) / p.scale)
+    bad = "exists(embedding, v -> v is null or isnan(v) or abs(cast(v as double)) >= {0:.1f}D)".format(float(2**62) / p.scale)
     usable = visible(vectors).filter("vec_id is not null and embedding is not null").filter(~F.expr(bad))
     scaled = F.expr(f"transform(embedding, v -> cast(floor({p.scale} * cast(v as double)) as bigint))")
     return usable.select(F.col("vec_id").cast("bigint").alias("vec_id"), scaled.alias("x"))
@@ -105,10 +110,14 @@ def bounds_of(page: dict, block: dict, k: int) -> pa.RecordBatch:
     low, width = np.frombuffer(page["low"], np.int64), np.frombuffer(page["width"], np.int64)
     cells = np.frombuffer(page["cells"], np.uint8).reshape(len(ids), size)
     x = np.frombuffer(block["x"], np.int64).reshape(len(queries), size).astype(np.float64)
-    base = x @ (low + cells.astype(np.int64) * width).T.astype(np.float64)
+    corners = (low + cells.astype(np.int64) * width).T.astype(np.float64)
     spread = (width - 1).astype(np.float64)
+    base = x @ corners
     below, above = np.minimum(x, 0) @ spread, np.maximum(x, 0) @ spread
-    slack = 1e-9 * (np.abs(base) + np.abs(above)[:, None] + np.abs(below)[:, None]) * (np.abs(base).max(initial=0) > 2**50)
+    # sums of whole numbers below 2**53 are exact; beyond, rounding loses a share of the sum of sizes
+    slack = 0.0
+    if size * np.abs(x).max(initial=0) * (np.abs(corners).max(initial=0) + spread.max(initial=0)) >= 2**52:
+        slack = size * 2.0**-50 * (np.abs(x) @ (np.abs(corners) + spread[:, None]))
     lower, upper = base + below[:, None] - slack, base + above[:, None] + slack
     own = queries[:, None] == ids[None]
     lower[own], upper[own] = -np.inf, -np.inf
@@ -138,8 +147,9 @@ def candidates(pages: DataFrame, blocks: DataFrame, p: Search) -> DataFrame:
 
 def _exact(pairs: DataFrame, numbers: DataFrame, queries: DataFrame) -> DataFrame:
     """Products of (query_id, vec_id) from the exact vectors."""
-    left = queries.select(F.col("vec_id").alias("query_id"), F.col("x").alias("q")).dropDuplicates(["query_id"])
-    product = F.expr("aggregate(zip_with(x, q, (a, b) -> a * b), 0L, (total, v) -> total + v)")
+    left = queries.select(F.col("vec_id").alias("query_id"), F.col("x").alias("q"))
+    wide = "cast(a as decimal(19,0)) * cast(b as decimal(19,0))"
+    product = F.expr(f"aggregate(zip_with(x, q, (a, b) -> {wide}), cast(0 as decimal(38,0)), (total, v) -> cast(total + v as decimal(38,0)))")
     read = pairs.join(numbers, "vec_id").join(left, "query_id").filter("size(x) = size(q)")
     return read.select("query_id", "vec_id", product.alias("score"))
 
@@ -147,7 +157,7 @@ def _exact(pairs: DataFrame, numbers: DataFrame, queries: DataFrame) -> DataFram
 def top_k(vectors: DataFrame, is_query, p: Search = Search()) -> DataFrame:
     """query_id, rank, vec_id and score of the k best rows for every row that the condition names a query."""
     numbers = stored(whole_numbers(vectors, p), "search-numbers")
-    queries = numbers.filter(is_query)
+    queries = numbers.filter(is_query).groupBy("vec_id").agg(F.min("x").alias("x"))
     pages = stored(approximations(numbers, p), "search-pages")
     blocks = stored(query_blocks(queries, p), "search-blocks")
     by_query = Window.partitionBy("query_id")
@@ -158,9 +168,13 @@ def top_k(vectors: DataFrame, is_query, p: Search = Search()) -> DataFrame:
     order = F.row_number().over(by_query.orderBy(F.desc("upper"), "vec_id"))
     hopeful = stored(hopeful.select("query_id", "vec_id", "upper", order.alias("turn")), "search-hopeful")
     first = stored(_exact(hopeful.filter(F.col("turn") <= p.k).select("query_id", "vec_id").distinct(), numbers, queries), "search-first")
-    certain = first.groupBy("query_id").agg(F.min("score").alias("certain"))
-    later = hopeful.filter(F.col("turn") > p.k).join(certain, "query_id").filter("upper >= certain").select("query_id", "vec_id")
+    certain = first.groupBy("query_id").agg(F.min("score").cast("double").alias("certain"))
+    # a bound and a score are compared as floating point numbers, so a bound just below the score counts too
+    enough = F.col("upper") >= F.col("certain") - F.abs("certain") * 2.0**-50
+    later = hopeful.filter(F.col("turn") > p.k).join(certain, "query_id").filter(enough).select("query_id", "vec_id")
     later = later.join(first, ["query_id", "vec_id"], "left_anti").distinct()
     scored = first.unionByName(_exact(later, numbers, queries))
     rank = F.row_number().over(by_query.orderBy(F.desc("score"), "vec_id")).alias("rank")
-    return scored.select("query_id", rank, "vec_id", "score").filter(F.col("rank") <= p.k)
+    ranked = scored.select("query_id", rank, "vec_id", "score").filter(F.col("rank") <= p.k)
+    nearest = F.least(F.greatest("score", F.lit(-(2**63)).cast("decimal(19,0)")), F.lit(2**63 - 1).cast("decimal(19,0)"))
+    return ranked.withColumn("score", nearest.cast("bigint"))

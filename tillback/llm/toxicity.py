@@ -12,6 +12,10 @@ smallest hash of their id, so the choice does not depend on the layout of the da
 this sample count once. The character counts are a table bounded by the alphabet, and the word
 evidence is bounded by the sample; only these two reach the driver.
 
+A disguise may have any length. Signs are read within a word of letters and signs, spacing between single
+characters; a letter that stands three times or more is undone in every word, and one that stands
+twice in words that would begin like a telling word without it.
+
 Defined results: a null or empty text, like any text without evidence, has the score ``floor``.
 Labels that are null or not 0 or 1 are ignored; of repeated labels the larger counts. Without any
 label every text has the floor. Rows keep their id; a null id is not held out and not trained on.
@@ -42,7 +46,6 @@ class Toxicity:
     """Parameters of training and scoring."""
 
     train_rows: int = 20_000
-    max_evidence: int = 50_000
     doubt: float = 4.0
     known: int = 8
     deviations: float = 5.0
@@ -65,13 +68,15 @@ STANDS_FOR = {
 SPACING = " .-_*~"
 SIGN_COST, REPEAT_COST, SPACING_COST, UNREAD_COST = 1.0, 0.5, 0.2, 12.0
 
-# A sign between or before letters; single characters kept apart by one sign each; a letter three times.
+# A sign between or before letters; single characters kept apart by one sign each; a letter two or three times.
 DISGUISED = re.compile(
-    r"(?<![^\s\"'(\[])(?=[a-z0-9@$!]{3,20}(?![a-z0-9@$!]))[0-9@$!]*(?:[a-z]+[0-9@$!]+)+[a-z]+"
-    r"|(?<![^\s\"'(\[])[0-9@$!]+[a-z]{2,20}(?![a-z0-9@$!])"
-    r"|(?<![^\s\"'(\[])(?:[a-z0-9@$!][ .\-_*~]){2,24}[a-z0-9@$!](?![^\s.,;:?!\"')\]])"
+    r"(?<![^\s\"'(\[])[0-9@$!]*(?:[a-z]+[0-9@$!]+)+[a-z]+[0-9@$]*(?![a-z0-9@$])"
+    r"|(?<![^\s\"'(\[])[0-9@$!]+[a-z]{2,}(?![a-z0-9@$!])"
+    r"|(?<![^\s\"'(\[])(?:[a-z0-9@$!][ .\-_*~]){2,}[a-z0-9@$!](?![^\s.,;:?!\"')\]])"
 )
 REPEATED = re.compile(r"[a-z]*([a-z])\1\1[a-z]*")
+LONG_RUN = re.compile(r"([a-z])\1{3,}")
+AGAIN = re.compile(r"([a-z])\1+")
 WORD = re.compile(r"[^\W\d_]{3,}")
 LETTER = (CLASS > 0) & (CLASS < 27)
 SIGN, GAP = np.zeros(256, bool), np.zeros(256, bool)
@@ -143,20 +148,24 @@ def readings(raw: str) -> list[list[tuple[str, float]]]:
 
 def restored(raw: str, model: np.ndarray) -> str:
     """Likeliest word behind ``raw``; the states are the last two letters."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}  # score, and the letters as (letters before, letter)
     for options in readings(raw.lower()):
-        following: dict[tuple[int, int], tuple[float, str]] = {}
-        for (one, two), (score, text) in states.items():
+        following: dict[tuple[int, int], tuple[float, tuple]] = {}
+        for (one, two), (score, letters) in states.items():
             for letter, cost in options:
                 if letter:
                     number = ord(letter) - 96
-                    state, value = (two, number), (score - cost + model[one, two, number], text + letter)
+                    state, value = (two, number), (score - cost + model[one, two, number], (letters, letter))
                 else:
-                    state, value = (one, two), (score - cost, text)
-                if state not in following or following[state] < value:
+                    state, value = (one, two), (score - cost, letters)
+                if state not in following or following[state][0] < value[0]:
                     following[state] = value
         states = following
-    return max((score + model[one, two, 0], text) for (one, two), (score, text) in states.items())[1]
+    letters, word = max(((score + model[one, two, 0], letters) for (one, two), (score, letters) in states.items()), key=lambda x: x[0])[1], []
+    while letters:
+        letters, letter = letters
+        word.append(letter)
+    return "".join(reversed(word))
 
 
 class Reader:
@@ -176,7 +185,7 @@ class Reader:
         if odd:
             found.update(filter(None, [self.restored(m[0]) for m in DISGUISED.finditer(small)]))
         if again:
-            found.update([self.restored(word[:200]) for word in found if REPEATED.match(word)])
+            found.update([self.restored(LONG_RUN.sub(r"\1\1\1", word)) for word in found if REPEATED.match(word)])
         return found
 
 
@@ -232,11 +241,11 @@ def evidence(docs: DataFrame, labels: DataFrame, model: np.ndarray, p: Toxicity)
     above = (F.col("n1") - n * rate) / F.sqrt(n * rate * max(1 - rate, 1e-9))
     known = counted.filter(n >= p.known).select("item", chance.alias("chance"), "n1", above.alias("above"))
     telling = known.filter((F.col("above") >= p.deviations) & (F.col("chance") >= p.least))
-    heads = {row.item[: min(p.heads)] for row in telling.orderBy(F.desc("n1"), "item").limit(p.max_evidence).collect()}
+    heads = {row.item[: min(p.heads)] for row in telling.collect()}  # bounded by the sample
     # what speaks against a beginning: longer beginnings and words below it
     under = known.join(F.broadcast(docs.sparkSession.createDataFrame([(head,) for head in sorted(heads)], "head string")),
                        F.substring("item", 1, min(p.heads)) == F.col("head"))
-    return {row.item: row.chance for row in under.orderBy(F.desc("n1"), "item").limit(p.max_evidence).collect()}
+    return {row.item: row.chance for row in under.collect()}
 
 
 class Scorer:
@@ -246,9 +255,19 @@ class Scorer:
         self.reader, self.weights, self.p = Reader(model), weights, p
         self.head = min(p.heads)
         self.starts = {item.rstrip("*")[: self.head] for item in weights}
+        self.single = {AGAIN.sub(r"\1", start) for start in self.starts}
 
     def all(self, column: pa.Array) -> list[float]:
-        return [self.score(words) for words in self.reader.all(column)]
+        return [self.score(words | self.undoubled(words)) for words in self.reader.all(column)]
+
+    def undoubled(self, words: set[str]) -> set[str]:
+        """Restored forms of words with a doubled letter, as far as they may begin like a telling word without it."""
+        found = set()
+        for word in words:
+            begin = AGAIN.sub(r"\1", word[: 2 * self.head])[: self.head]
+            if begin in self.single and begin != word[: self.head]:
+                found.add(self.reader.restored(LONG_RUN.sub(r"\1\1\1", word)))
+        return found
 
     def score(self, words: set[str]) -> float:
         best, head, starts = self.p.floor, self.head, self.starts
