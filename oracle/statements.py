@@ -401,4 +401,5 @@ def faulty() -> dict[str, str]:
 
 def statements() -> dict[str, str]:
     found = {**layers(), **marts(), **analysis(), **reports(), **quality(), **operators(), **faulty(), **operation_statements()}
-    return found | {"report_required_inputs": found["report_kpis"]}
+    same = {"report_required_inputs": "report_kpis", "published_mart": "mart_return_rate_by_store", "raw_ddl_table": "bronze_stores"}
+    return found | {name: found[other] for name, other in same.items()}

@@ -7,16 +7,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from rows import by
-from tillback.domains import TABLES
+from tillback.domains import TABLES, columns
 from tillback.functions.measures import count_rate
 from tillback.plans.pipeline import MART_PLANS, Store, build_strict
-from tillback.registry import Lanes
+from tillback.operators.shares import release
+from tillback.registry import Lanes, all_queries
 from tillback.plans import marts, reports
 from tillback.plans.intermediate import (
     int_returns_enriched, int_sales_enriched, int_sales_returns_joined, return_flags, return_timing, sale_measures,
 )
 from tillback.plans.staging import Staged, stage
 
+FOLDER = "/root/testdata/sf0.001"
+
 
 def test_staging_keeps_identifier_case(raw):
     row = stage(raw("sales", {"sale_id": " SL1 ", "payment_method": " Cash "}), "sales").first()
@@ -237,3 +240,19 @@ def test_page_is_cut_before_context(spark, raw):
 def test_reports_show_the_whole_table_when_a_column_is_missing(spark, raw):
     table = spark.createDataFrame([("S1", 1.0, 2.0)], "store_id string, return_rate double, total_return_amount double")
     assert reports.store_table(table).columns == table.columns
+
+
+def test_enriched_facts_keep_the_column_order(spark):
+    queries = all_queries()
+    sold = queries["int_sales_enriched"](spark, FOLDER).columns
+    back = queries["int_returns_enriched"](spark, FOLDER).columns
+    both = queries["int_sales_returns_joined"](spark, FOLDER).columns
+    assert sold[:13] == columns("sales") and sold[-5:] == ["gross_sale_amount", "net_sale_amount", "discount_rate", "loaded_at", "source_file"]
+    assert back[:5] == ["return_id", "sale_id", "transaction_id", "sale_date", "return_date"] and back[16] == "policy_exception_flag"
+    assert back[-7:] == ["days_until_return", "late_return_flag", "no_receipt_flag", "damaged_or_defective_flag", "high_value_return_flag", "loaded_at", "source_file"]
+    assert both[6:9] == ["product_id", "units_sold", "unit_price"] and both[-1] == "policy_exception_flag"
+
+
+def test_frames_kept_for_a_second_reading_are_released(spark):
+    all_queries()["report_return_reasons"](spark, FOLDER).count()
+    assert release() >= 1 and release() == 0

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillback.domains import TABLES, columns
+from tillback.domains import TABLES, columns, raw_ddl
 from tillback.functions.labels import padded_id, spaced_title
 from tillback.operators.joins import attach_split
 from tillback.operators.quality import require_rows
@@ -21,6 +21,7 @@ from tillback.plans.pipeline import VersionedStore, build_lenient, build_strict
 from tillback.sources.checked_load import RejectedLanding, load_all_or_nothing
 from tillback.sources.landing import write_csv
 from tillback.sources.scratch import settled, shared_folder
+from tillback.sources.tables import layer_schema, passing_namespace, read_mart, write_overwrite
 from tillback.sources.versions import Change, VersionedTables
 
 # Which rows of the facts land late, and the rows of each of three loads.
@@ -165,6 +166,24 @@ def attach_hot_keys(lanes) -> DataFrame:
     return attach_split(dated, lanes.raw["products"], "product_id", {"product_category": "product_category"})
 
 
+def published_mart(lanes) -> DataFrame:
+    """The store mart written to a schema of marts and read back by its checked name."""
+    spark = lanes.spark
+    with passing_namespace(spark, "marts", shared_folder(spark, "published")) as target:
+        schema = layer_schema(None, target)
+        write_overwrite(lanes.mart("mart_return_rate_by_store"), f"{schema}.mart_return_rate_by_store")
+        return settled(read_mart(spark, schema, "mart_return_rate_by_store"), "published-mart")
+
+
+def raw_ddl_table(lanes) -> DataFrame:
+    """The raw stores appended to a table that was declared before, with its declared types."""
+    spark = lanes.spark
+    with passing_namespace(spark, "raw", shared_folder(spark, "declared")) as target:
+        spark.sql(f"CREATE TABLE {target}.stores ({raw_ddl('stores')}) USING parquet")
+        lanes.raw["stores"].write.insertInto(f"{target}.stores")
+        return settled(spark.table(f"{target}.stores"), "declared-stores")
+
+
 def required_inputs(lanes) -> DataFrame:
     """The report's KPIs, made only if every mart that reports read has rows."""
     marts = {
@@ -233,6 +252,8 @@ OPERATIONS = {
     "lenient_lane_tables": lenient_lane_tables,
     "layer_row_counts": layer_row_counts,
     "copy_into_checked": copy_into_checked,
+    "published_mart": published_mart,
+    "raw_ddl_table": raw_ddl_table,
     "report_required_inputs": required_inputs,
     "report_store_filter": report_store_filter,
     "report_filter_reasons": filter_reasons,

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillback.domains import STRICT_HIGH_VALUE
+from tillback.domains import STRICT_HIGH_VALUE, columns
 from tillback.functions.measures import (
     any_true, days_between, is_damaged, is_late, or_zero, rate, settled,
 )
@@ -43,6 +43,20 @@ RETURN_FLAGS = [
 ]
 
 
+# Column order of the enriched facts.
+SALES_COLUMNS = [
+    *columns("sales"), "product_name", "product_category", "product_subcategory", "brand", "product_cost", "product_active_flag",
+    "store_name", "store_city", "store_province", "store_region", "store_type", "customer_loyalty_tier", "employee_role",
+    "gross_sale_amount", "net_sale_amount", "discount_rate", "loaded_at", "source_file",
+]
+RETURNS_COLUMNS = [
+    "return_id", "sale_id", "transaction_id", "sale_date", *columns("returns")[3:], "product_name", "product_category",
+    "product_subcategory", "brand", "store_name", "store_city", "store_province", "store_region", "store_type",
+    "customer_loyalty_tier", "employee_role", "days_until_return", "late_return_flag", "no_receipt_flag",
+    "damaged_or_defective_flag", "high_value_return_flag", "loaded_at", "source_file",
+]
+
+
 def attach_context(facts: DataFrame, dimensions, context: dict[str, dict[str, str]]) -> DataFrame:
     for table, attributes in context.items():
         facts = attach(facts, dimensions[table], CONTEXT_KEYS[table], attributes)
@@ -81,11 +95,11 @@ def return_timing(returns: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 def int_sales_enriched(sales: DataFrame, dimensions) -> DataFrame:
-    return attach_context(sale_measures(sales), dimensions, SALE_CONTEXT)
+    return attach_context(sale_measures(sales), dimensions, SALE_CONTEXT).select(*SALES_COLUMNS)
 
 
 def int_returns_enriched(returns: DataFrame, sales: DataFrame, dimensions) -> DataFrame:
-    return attach_context(return_timing(return_flags(returns), sales), dimensions, RETURN_CONTEXT)
+    return attach_context(return_timing(return_flags(returns), sales), dimensions, RETURN_CONTEXT).select(*RETURNS_COLUMNS)
 
 
 def returns_by_sale(returns: DataFrame) -> DataFrame:
@@ -103,8 +117,7 @@ def returns_by_sale(returns: DataFrame) -> DataFrame:
 
 # Output columns that the sale line contributes as they are.
 JOINED_SALE_COLUMNS = [
-    "sale_id", "transaction_id", "sale_date", "store_id", "customer_id", "employee_id",
-    "product_id", "unit_price", "discount_amount", "gross_sale_amount", "net_sale_amount",
+    "unit_price", "discount_amount", "gross_sale_amount", "net_sale_amount",
     "discount_rate", "payment_method", "sales_channel",
 ]
 JOINED_CONTEXT = [
@@ -120,8 +133,9 @@ def int_sales_returns_joined(sales: DataFrame, returns: DataFrame) -> DataFrame:
     units = or_zero(F.col("units_returned"))
     context = [name for name in JOINED_CONTEXT if name in matched.columns]
     return matched.select(
-        *JOINED_SALE_COLUMNS,
+        "sale_id", "transaction_id", "sale_date", "store_id", "customer_id", "employee_id", "product_id",
         F.col("quantity").alias("units_sold"),
+        *JOINED_SALE_COLUMNS,
         *context,
         count.alias("return_count"),
         units.alias("units_returned"),

@@ -32,7 +32,7 @@ from tillback.plans.staging import Staged
 from tillback.sources.adapter import RetailTables
 from tillback.sources.landing import copy_into, list_stage, write_csv
 from tillback.sources.scratch import settled, shared_folder
-from tillback.sources.tables import copy_to_bronze, create_namespace, publish_views
+from tillback.sources.tables import copy_to_bronze, passing_namespace, publish_views
 from tillback.sources.variants import DoubledReturns, HotTables, RepeatedTables, SpoiledTables
 from tillback.streaming.incremental import copy_new_files
 
@@ -340,18 +340,15 @@ def _copy_into(table: str):
 
 
 def _bronze(table: str):
-    """The raw table as a named source, copied to the bronze layer and read from there."""
+    """The raw table as a named source, copied to a bronze layer and read from there."""
     def run(lanes: Lanes) -> DataFrame:
-        layer = f"bronze_{uuid.uuid4().hex}"
-        source = f"{table}_{layer}"
-        publish_views({source: lanes.raw[table]})
-        create_namespace(lanes.spark, layer)
-        try:
-            target = copy_to_bronze(lanes.spark, {table: source}, layer)[table]
-            return settled(lanes.spark.table(target), f"bronze-{table}")
-        finally:
-            lanes.spark.sql(f"DROP SCHEMA {layer} CASCADE")
-            lanes.spark.catalog.dropTempView(source)
+        spark = lanes.spark
+        with passing_namespace(spark, "bronze", shared_folder(spark, "bronze")) as layer:
+            source = f"{table}_{layer}"
+            publish_views({source: lanes.raw[table]})
+            target = copy_to_bronze(spark, {table: source}, layer)[table]
+            spark.catalog.dropTempView(source)
+            return settled(spark.table(target), f"bronze-{table}")
 
     return run
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +32,22 @@ def qualified(*parts: str) -> str:
     return ".".join(checked_identifier(part) for part in parts)
 
 
-def create_namespace(spark: SparkSession, *names: str) -> None:
+def create_namespace(spark: SparkSession, *names: str, location: str | None = None) -> None:
+    """Schemas by name, in the warehouse or below ``location``."""
     for name in names:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+        place = f" LOCATION '{location}/{name}'" if location else ""
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{place}")
+
+
+@contextmanager
+def passing_namespace(spark: SparkSession, prefix: str, location: str) -> Iterator[str]:
+    """A schema of its own name below ``location``, which is dropped with its tables at the end."""
+    name = f"{prefix}_{uuid.uuid4().hex}"
+    create_namespace(spark, name, location=location)
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP SCHEMA {name} CASCADE")
 
 
 def write_overwrite(
