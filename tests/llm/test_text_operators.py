@@ -397,3 +397,61 @@ def test_additive_ids_decode_to_the_text(spark):
     rows = [(1, "Ein kleiner Satz, and another one."), (2, None), (3, "x" * 3000), (4, "été 天地 \U0001F600")]
     back = {r.doc_id: r.text for r in decoded(encoded(frame(spark, rows), additive=True)).collect()}
     assert back == {1: rows[0][1], 2: "", 3: rows[2][1], 4: rows[3][1]}
+
+
+# --- learnt evidence ----------------------------------------------------------------------------
+
+def plain_scores(docs, labels, p):
+    """Scores of texts without disguises, from counts made anew."""
+    def words(text):
+        return set(re.findall(r"[^\W\d_]{3,}", (text or "").lower()))
+
+    def items(word):
+        return [word, *(word[:n] + "*" for n in (6, 5, 4) if len(word) >= n)]
+
+    toxic = {doc: label for doc, label in labels if zlib.crc32(str(doc).encode()) % 4 != 2}
+    counts, sizes = {0: Counter(), 1: Counter()}, Counter()
+    for label, found in {(toxic[doc], frozenset(words(text))) for doc, text in docs if doc in toxic}:
+        sizes[label] += 1
+        counts[label].update({item for word in found for item in items(word)})
+    rate, weights, heads = sizes[1] / sum(sizes.values()), {}, set()
+    for item in counts[0].keys() | counts[1].keys():
+        n1, n = counts[1][item], counts[0][item] + counts[1][item]
+        if n >= p.known:
+            weights[item] = n1 / (n + p.doubt)
+            if weights[item] >= p.least and (n1 - n * rate) / (n * rate * (1 - rate)) ** 0.5 >= p.deviations:
+                heads.add(item[:4])
+    weights = {item: weight for item, weight in weights.items() if item[:4] in heads}
+    return {
+        doc: max([p.floor, *(next((weights[i] for i in items(word) if i in weights), 0.0) for word in words(text))]) for doc, text in docs
+    }
+
+
+def test_scores_equal_a_plain_recount(spark):
+    rng = random.Random(31)
+    docs, labels = [], []
+    for doc in range(400):
+        bad = doc % 5 == 0
+        stem = rng.choice(["grumblax", "grumblaxed", "vexorite", "vexorites"]) if bad and rng.random() < 0.9 else rng.choice(["vexing", "harmless", "tidy"])
+        docs.append((doc, f"{prose(doc, 25)} {stem} {prose(1000 + doc, 5)}"))
+        if doc % 3:
+            labels.append((doc, int(bad)))
+    docs += [(500, None), (501, ""), (502, "Grumblaxes")]
+    table = spark.createDataFrame([(doc, 1, label) for doc, label in labels], "doc_id bigint, quality int, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.toxicity(frame(spark, docs), table).collect()}
+    want = plain_scores(docs, labels, toxicity.Toxicity())
+    assert got.keys() == want.keys() and all(got[doc] == pytest.approx(want[doc]) for doc in got)
+    assert sum(score > 0.3 for score in got.values()) > 50
+
+
+def test_long_and_doubled_disguises_are_read(spark):
+    rng = random.Random(32)
+    docs = [(doc, f"{prose(doc, 20)} {'grumblaxen' if doc % 4 == 0 else 'harmless'} {prose(900 + doc, 6)}") for doc in range(300)]
+    labels = spark.createDataFrame([(doc, 1, int(doc % 4 == 0)) for doc in range(300)], "doc_id bigint, quality int, toxic int")
+    hidden = {
+        1000: "g" + "r" * 500 + "umblaxen", 1001: "grrumblaxen", 1002: "g r u m b l a x e n",
+        1003: "gru" + "m" * 300 + "bl@xen", 1004: "grumbl4x3n" + "r3d" * 9, 1005: "harmless", 1006: "a" * 100_000, 1007: "ab" * 50_000 + "ccc",
+    }
+    rows = docs + [(doc, f"{prose(doc, 8)} {word} {prose(rng.random(), 4)}") for doc, word in hidden.items()]
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity(frame(spark, rows), labels).collect()}
+    assert {doc: got[doc] for doc in hidden} == {1000: 1, 1001: 1, 1002: 1, 1003: 1, 1004: 1, 1005: 0, 1006: 0, 1007: 0}
