@@ -40,7 +40,10 @@ def test_large_components_and_repeated_queries(spark):
     big += [(1000 + k, [float(v) for v in rng.normal(0, 10.0 ** (k % 9), 2)], 0) for k in range(200)]
     df = spark.createDataFrame(big, "vec_id bigint, embedding array<float>, label int")
     got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in top_k(df, F.col("vec_id") % 50 == 0, Search(page=64, block=8)).collect()}
-    assert got == brute([(vec, [float(np.float32(v)) for v in x], 0) for vec, x, _ in big])
+    want = brute([(vec, [float(np.float32(v)) for v in x], 0) for vec, x, _ in big])
+    # ranked by their values, given as the nearest 64-bit numbers
+    assert got == {(query, rank, vec, max(-(2**63), min(2**63 - 1, score))) for query, rank, vec, score in want}
+    assert any(abs(score) >= 2**63 for *_, score in want) and any(abs(score) < 2**50 for *_, score in want)
     twice = spark.createDataFrame([(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [3.0, 0.0]), (2, [0.0, 2.0])], "vec_id bigint, embedding array<float>")
     assert [(r.vec_id, r.score) for r in top_k(twice, F.col("vec_id") % 50 == 0).orderBy("rank").collect()] == [(2, 131072), (1, 0)]
 
