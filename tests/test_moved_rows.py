@@ -5,8 +5,11 @@ from tillback.plans.intermediate import (
     RETURN_CONTEXT, Dimensions, attach_context, int_returns_enriched, int_sales_enriched, int_sales_returns_joined,
     joined_with_context, repeat_by_context, return_flags, return_timing, sale_measures,
 )
+from tillback.plans.pipeline import VersionedStore, build_lenient
 from tillback.plans.staging import Staged
 from tillback.registry import Lanes, Models
+from tillback.sources.adapter import RetailTables
+from tillback.sources.versions import VersionedTables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -69,3 +72,11 @@ def test_rules_read_stored_columns_only(spark):
     assert "store_name" not in sold.columns and sold.sparkSession is spark
     # without repeated keys enriched sales are the stored staged ones: one stored file set, read by all
     assert plan(sold) == plan(models["stg_sales"]) and "lineitem" not in sold._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_gold_mart_is_built_without_the_others(spark, tmp_path):
+    tables = VersionedTables(spark, str(tmp_path / "lane"))
+    with tables.change() as change:
+        build_lenient(VersionedStore(change), RetailTables(spark, FOLDER), "lake", only="gold_return_rate_by_store")
+    assert tables.names() == ["gold_return_rate_by_store", "silver_returns", "silver_sales", "silver_stores"]
+    assert tables.read("gold_return_rate_by_store").count() > 0
