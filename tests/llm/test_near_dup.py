@@ -6,7 +6,9 @@ import numpy as np
 import pyarrow as pa
 from texts import frame, odd_rows, prose
 
-from tillback.llm.graph import components
+from tillback.llm import graph
+from tillback.llm.frames import stored
+from tillback.llm.graph import components, linked
 from tillback.llm.near_dup import NearDup, join_keys, near_duplicates, without_near_duplicates
 
 
@@ -137,3 +139,23 @@ def test_one_of_equal_rows_stays(spark):
 def test_dedup_of_columns_with_clashing_names(spark):
     docs = spark.createDataFrame([(k, prose(1, 60), "x", k) for k in range(3)], "doc_id bigint, text string, _text_hash string, t int")
     assert [tuple(r) for r in without_near_duplicates(docs).collect()] == [(0, prose(1, 60), "x", 0)]
+
+
+def test_pairs_compared_grow_with_members_not_with_their_square(spark, monkeypatch):
+    """Buckets of 12 alike sets, and buckets of 12 sets of one size that share little."""
+    alike = {100 * g + k: (g, [1000 * g + e for e in range(40)] + [10**6 + 100 * g + k]) for g in range(20) for k in range(12)}
+    rng = random.Random(5)
+    apart = {10**4 + 100 * g + k: (10**3 + g, rng.sample(range(2 * 10**6, 3 * 10**6), 41)) for g in range(20) for k in range(12)}
+    rows = {**alike, **apart}
+    sets = spark.createDataFrame([(i, own) for i, (_, own) in rows.items()], "id bigint, shingles array<bigint>")
+    members = spark.createDataFrame([(key, i) for i, (key, _) in rows.items()], "key bigint, id bigint")
+    asked, confirm = [], graph.confirmed
+
+    def counted(pairs, *others):
+        asked.append(pairs.count())
+        return confirm(pairs, *others)
+
+    monkeypatch.setattr(graph, "confirmed", counted)
+    got = {row.id: row.root for row in linked(members, lambda ids: stored(sets.join(ids, "id"), "test-sets"), 80, "test").collect()}
+    assert got == {i: i - i % 100 for i in alike}
+    assert sum(asked) <= len(rows)
