@@ -18,12 +18,15 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillback.operators.joins import likely_met
 from tillback.plans.intermediate import return_flags, return_timing, sale_measures
 from tillback.plans.marts import daily_sales_returns_summary, exception_reason, is_exceptional
-from tillback.sources.scratch import settled
 
 SALE_DAY, RETURN_DAY = "sale_date", "return_date"
 PERIOD = "period"
+# The columns of returns that the two marts read.
+RETURN_COLUMNS = """return_id sale_id return_date return_amount return_reason no_receipt_flag damaged_or_defective_flag
+    high_value_return_flag policy_exception_flag""".split()
 EXCEPTION_COLUMNS = """return_id sale_id sale_date days_until_return return_amount return_reason late_return_flag no_receipt_flag
     damaged_or_defective_flag high_value_return_flag policy_exception_flag exception_reason""".split()
 
@@ -63,20 +66,23 @@ class DailyTables:
         replace_partitions(ordered, f"{self._base}/{name}", *keys)
 
     def apply(self, sales: DataFrame, returns: DataFrame, batch: int) -> list[dt.date | None]:
-        """Take in the staged rows of a batch and rebuild the affected periods; these, in order, None first."""
+        """Take in the staged rows of a batch and rebuild the affected periods; these, in order, None first.
+
+        The batch is read twice, for its periods and to be stored; from then on its stored rows are read.
+        """
         sold = sale_measures(sales).select("sale_id", SALE_DAY, "net_sale_amount", self._period(SALE_DAY))
-        sold = settled(sold, "batch-sales")
-        back = return_flags(returns).drop("loaded_at", "source_file")
-        back = settled(back.withColumn(PERIOD, self._period(RETURN_DAY)), "batch-returns")
+        back = return_flags(returns).select(*RETURN_COLUMNS, self._period(RETURN_DAY))
+        of_sales, own = ({row[0] for row in rows.select(PERIOD).distinct().collect()} for rows in (sold, back))
         number = F.lit(batch)
         self._replace("sales", sold.withColumn("batch", number), PERIOD, "batch")
         self._replace("returns", back.withColumn("batch", number), PERIOD, "batch")
 
         # returns of any batch whose sale has just come
-        waiting = self.read("returns").select("sale_id", PERIOD).join(sold.select("sale_id"), "sale_id", "left_semi")
-        own = back.select(PERIOD).distinct()
-        of_returns = {row[0] for row in own.union(waiting.select(PERIOD)).distinct().collect()}
-        of_rows = {row[0] for row in sold.select(PERIOD).distinct().union(own).distinct().collect()}
+        returned = self.read("returns").select("sale_id", PERIOD)
+        come = self.read("sales").filter(in_periods(of_sales) & (F.col("batch") == batch)).select("sale_id")
+        waiting = returned.join(likely_met(come, "sale_id", returned), "sale_id", "left_semi") if of_sales else returned.limit(0)
+        of_returns = own | {row[0] for row in waiting.select(PERIOD).distinct().collect()}
+        of_rows = of_sales | own
         if of_rows:
             self._replace("daily", self._daily(of_rows).withColumn("built_by", number), PERIOD)
         if of_returns:
@@ -90,7 +96,8 @@ class DailyTables:
     def _exceptions(self, periods: set) -> DataFrame:
         """Exceptional returns of the periods. A return's sale may lie on any day, so all stored sales are asked by id."""
         returns = self.read("returns").filter(in_periods(periods))
-        found = return_timing(returns, self.read("sales").select("sale_id", SALE_DAY))
+        sold = likely_met(self.read("sales").select("sale_id", SALE_DAY), "sale_id", returns)
+        found = return_timing(returns, sold)
         found = found.withColumn("exceptional", is_exceptional()).withColumn("exception_reason", exception_reason())
         kept = found.filter("exceptional").select(PERIOD, RETURN_DAY, *EXCEPTION_COLUMNS)
         # a period without any exceptional return must lose its rows: it keeps one without a return
