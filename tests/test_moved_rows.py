@@ -12,7 +12,7 @@ from tillback.plans.intermediate import (
 )
 from tillback.plans.pipeline import VersionedStore, build_lenient
 from tillback.plans.staging import Staged
-from tillback.registry import Lanes, Models
+from tillback.registry import Lanes, Models, StrictModels
 from tillback.sources.adapter import RetailTables
 from tillback.sources.versions import VersionedTables
 
@@ -134,3 +134,9 @@ def test_one_gold_mart_stores_the_columns_it_reads(spark, tmp_path):
         build_lenient(VersionedStore(change), RetailTables(spark, FOLDER), "lake", only="gold_return_rate_by_store")
     assert tables.read("silver_sales").columns == gold.SALE_COLUMNS
     assert "transaction_id" not in tables.read("silver_returns").columns
+
+
+def test_mart_by_product_reads_the_returns_that_were_matched(spark):
+    models = StrictModels(Lanes(spark, FOLDER), context=False)
+    models["int_sales_returns_joined"]
+    assert "Join" not in plan(models["int_returns_enriched"])
