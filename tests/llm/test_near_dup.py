@@ -4,6 +4,8 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 from texts import frame, odd_rows, prose
 
 from tillback.llm import graph
@@ -159,3 +161,42 @@ def test_pairs_compared_grow_with_members_not_with_their_square(spark, monkeypat
     got = {row.id: row.root for row in linked(members, lambda ids: stored(sets.join(ids, "id"), "test-sets"), 80, "test").collect()}
     assert got == {i: i - i % 100 for i in alike}
     assert sum(asked) <= len(rows)
+
+
+def test_members_carry_sketches_and_packed_sets_are_opened_for_likely_pairs_only(spark, monkeypatch):
+    """One bucket of sets that share little: sizes and sketches join once for a member, and no pair is unpacked."""
+    rng = random.Random(7)
+    rows = {k: rng.sample(range(10**6), 40) for k in range(60)} | {100: list(range(40)), 101: [*range(39), 77]}
+    packed = stored(spark.createDataFrame([(i, own) for i, own in rows.items()], "id bigint, packed array<bigint>"), "test-packed")
+    members = stored(spark.createDataFrame([(5, i, min(rows)) for i in rows], "key bigint, id bigint, least bigint"), "test-members")
+    asked, confirm = [], graph.confirmed
+
+    def counted(pairs, *others):
+        asked.append(pairs.count())
+        return confirm(pairs, *others)
+
+    monkeypatch.setattr(graph, "confirmed", counted)
+    got = linked(members, lambda ids: packed.join(ids, "id", "left_semi"), 80, "test", F.col).collect()
+    assert {row.id: row.root for row in got} == {100: 100, 101: 100}
+    assert sum(asked) == 1
+
+
+@pytest.mark.parametrize("limit", [0, 24])
+def test_buckets_of_rare_elements_find_the_links_that_all_pairs_have(spark, monkeypatch, limit):
+    """With and without rounds of hubs, for packed sets of many sizes in one bucket."""
+    rng = random.Random(3)
+    rows = {}
+    for k in range(90):
+        base = range(1000 * (k % 6), 1000 * (k % 6) + 30)
+        rows[k] = sorted({e if rng.random() > 0.09 else 50_000 + rng.randrange(40) for e in base} | set(range(90_000, 90_000 + rng.randrange(4))))
+    packed = stored(spark.createDataFrame([(i, own) for i, own in rows.items()], "id bigint, packed array<bigint>"), "test-packed")
+    members = stored(spark.createDataFrame([(5, i, 0) for i in rows], "key bigint, id bigint, least bigint"), "test-members")
+    monkeypatch.setattr(graph, "PAIRS_PER_MEMBER", limit)
+    got = {row.id: row.root for row in linked(members, lambda ids: packed.join(ids, "id", "left_semi"), 80, "test", F.col).collect()}
+    own, root = {i: {*row} for i, row in rows.items()}, {i: i for i in rows}
+    links = [(a, b) for a, b in combinations(rows, 2) if len(own[a] & own[b]) * 100 >= 80 * len(own[a] | own[b])]
+    for _ in rows:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    several = [i for i in rows if sum(r == root[i] for r in root.values()) > 1]
+    assert got == {i: root[i] for i in several} and 6 < len(several)
