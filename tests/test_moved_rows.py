@@ -1,19 +1,24 @@
 """What wide facts are spared: joins that only repeat rows, and moves for lookups that have been counted."""
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
+from tillback.operators import joins
 from tillback.operators.distinct import repeated_rows
 from tillback.operators.joins import BROADCAST_BYTES, attach, likely_met, with_met
+from tillback.operators.rules import TableRules, check_all
 from tillback.plans import gold
 from tillback.plans.incremental import DailyTables
 from tillback.plans.intermediate import (
     RETURN_CONTEXT, Dimensions, attach_context, int_returns_enriched, int_sales_enriched, int_sales_returns_joined,
     joined_with_context, lines_beside_returns, repeat_by_context, return_flags, return_timing, sale_measures,
 )
-from tillback.plans.pipeline import VersionedStore, build_lenient
+from tillback.plans.pipeline import VersionedStore, build_lenient, build_strict
 from tillback.plans.staging import Staged
 from tillback.registry import Lanes, Models, StrictModels
 from tillback.sources.adapter import RetailTables
+from tillback.sources.scratch import shared_folder
 from tillback.sources.versions import VersionedTables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -140,3 +145,73 @@ def test_mart_by_product_reads_the_returns_that_were_matched(spark):
     models = StrictModels(Lanes(spark, FOLDER), context=False)
     models["int_sales_returns_joined"]
     assert "Join" not in plan(models["int_returns_enriched"])
+
+
+def test_large_lookups_are_broadcast_in_chunks_and_facts_are_not_moved(spark, raw, monkeypatch):
+    sales = raw("sales", *[{"sale_id": f"SL{k}", "product_id": f"P{k % 7}", "customer_id": f"C{k % 3}"} for k in range(40)],
+                {"product_id": None, "customer_id": "C-unknown"}, {"product_id": "P-unknown", "customer_id": None})
+    dimensions = Staged({
+        "products": raw("products", *[{"product_id": f"P{k}", "brand": f"B{k}"} for k in (0, 1, 2, 3, 3, 5, 6)], {"product_id": None}),
+        "customers": raw("customers", *[{"customer_id": f"C{k}", "loyalty_tier": t} for k, t in ((0, "gold"), (1, None))], {"customer_id": None}),
+        "stores": raw("stores", {}), "employees": raw("employees", {}, {}),
+    })
+    expected = int_sales_enriched(sales, dimensions)
+    known = Dimensions(dimensions)
+    assert known.sizes["products"] == (8, 2)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 190)
+    assert joins.chunk_count(8, RETURN_CONTEXT["products"]) > 4 and joins.chunk_count(3, RETURN_CONTEXT["customers"]) == 2
+    shared = Path(shared_folder(spark, "x").removeprefix("file:")).parent
+    before = set(shared.glob("*-by-chunk-*/_chunk=*"))
+    found = int_sales_enriched(sales, known)
+    assert "product_name" not in "".join(line for line in plan(found).splitlines() if "Join" in line)
+    assert found.columns == expected.columns and rows(found) == rows(expected)
+    # parts that have got their attributes are deleted
+    assert set(shared.glob("*-by-chunk-*/_chunk=*")) == before
+    monkeypatch.setattr("tillback.plans.intermediate.MAX_CHUNKS", 1)
+    assert rows(int_sales_enriched(sales, known)) == rows(expected)
+
+
+def test_tables_of_a_change_leave_no_shuffle_behind(spark, tmp_path):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in map(str, (files.apply(k) for k in range(files.size()))) if "shuffle_" in name}
+
+    before = shuffled()
+    tables = VersionedTables(spark, str(tmp_path / "lane"))
+    with tables.change() as change:
+        change.write("numbers", spark.range(1000).repartition(3, "id"))
+    assert change.counts == {"numbers": 1000} and not shuffled() - before
+
+
+def test_lane_moves_only_sales_that_may_have_a_return(spark, raw, tmp_path):
+    tables_in = {name: raw(name, {}) for name in ("products", "stores", "customers", "employees")}
+    tables_in["sales"] = raw("sales", *[{"sale_id": f"SL{k}"} for k in range(40)], {"sale_id": None}, {"sale_id": "SL7"})
+    tables_in["returns"] = raw("returns", {"sale_id": "SL7"}, {"return_id": "R2", "sale_id": "SL-gone"}, {"return_id": "R3", "sale_id": None})
+    plans, before = [], {p.name for p in Path(shared_folder(spark, "x").removeprefix("file:")).parent.glob("returns-by-sale-*")}
+
+    class Watched(VersionedStore):
+        def keep(self, df, schema, name, *, fact=False):
+            plans.append((name, plan(df)))
+            return super().keep(df, schema, name, fact=fact)
+
+    stored = VersionedTables(spark, str(tmp_path / "lane"))
+    with stored.change() as change:
+        build_strict(Watched(change), tables_in, "retail")
+    moved = dict(plans)
+    assert "_bits" in moved["int_returns_enriched"]
+    assert "_bits" in moved["int_sales_returns_joined"]
+    staged = Staged(tables_in)
+    expected = int_sales_returns_joined(int_sales_enriched(staged["sales"], staged), int_returns_enriched(staged["returns"], staged["sales"], staged))
+    assert rows(stored.read("int_sales_returns_joined")) == rows(expected)
+    # the totals that the lines were joined with have gone
+    shared = Path(shared_folder(spark, "x").removeprefix("file:")).parent
+    assert {p.name for p in shared.glob("returns-by-sale-*")} == before
+
+
+def test_a_key_that_is_unique_and_refers_to_a_parent_is_counted_once(spark):
+    rules = TableRules(not_null=["id"], unique="id", parents={"id": ("p", "key"), "of": ("p", "key")})
+    assert rules.looked_into() == ["id", "of"]
+    rows_in = spark.createDataFrame([("a", "a"), ("a", "x"), ("b", None), (None, "a"), ("c", "x")], "id string, of string")
+    parents = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "key string")
+    found = {(r.rule, r.column_name): (r.rows_checked, r.violations) for r in check_all({"t": rows_in, "p": parents}, {"t": rules}).collect()}
+    assert found == {("not_null", "id"): (5, 1), ("unique", "id"): (5, 1), ("relationships", "id"): (5, 1), ("relationships", "of"): (5, 2)}
