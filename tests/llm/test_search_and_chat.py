@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillback.llm.chat import chat_digest, chat_markup, escaped, formatted, formatted_chats, header, unescaped
-from tillback.llm.search import Search, top_k
+from tillback.llm.search import Search, approximations, candidates, query_blocks, top_k, whole_numbers
 
 
 def brute(rows, k=5, every=50):
@@ -34,6 +34,25 @@ def test_search_equals_brute_force(spark, cells):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("scale", [0.2, 3000.0, 1e10])
+def test_pages_and_blocks_meet_in_groups(spark, scale):
+    rng = np.random.default_rng(6)
+    rows = [(int(k), [float(v) for v in rng.normal(0, scale, 6)], 0) for k in range(600)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").repartition(2)
+    p = Search(page=8, block=3, pages_together=5, blocks_together=2)
+    numbers = whole_numbers(df, p)
+    pages, blocks = approximations(numbers, p), query_blocks(numbers.filter("vec_id % 50 = 0"), p)
+    met = candidates(pages, blocks, p)
+    # a page is moved for every group of blocks (2 or 3), not for every block (4 or more)
+    assert met._jdf.queryExecution().optimizedPlan().toString().count("Join") == 0
+    found = {(r.query_id, r.vec_id) for r in met.collect()}
+    want = brute([(vec, [float(np.float32(v)) for v in x], 0) for vec, x, _ in rows])
+    assert found >= {(query, vec) for query, _, vec, _ in want} and not any(q == v for q, v in found)
+    # limits of earlier pages hold for later ones: fewer candidates than k for each page and query
+    assert len(found) < 5 * 75 * 12
+    assert {(r.query_id, r["rank"], r.vec_id) for r in top_k(df, F.col("vec_id") % 50 == 0, p).collect()} == {row[:3] for row in want}
+
+
 def test_large_components_and_repeated_queries(spark):
     big = [(0, [300000.0, 0.0], 0), (1, [1.0, 2.0], 0), (2, [-1.0, 5.0], 0), (50, [300000.0, -7.0], 0), (3, [2.0**40, 1.0], 0), (100, [-(2.0**30), 2.0**30], 0)]
     rng = np.random.default_rng(5)

@@ -2,12 +2,12 @@
 
 Vectors are stored in pages of quantised cells, one byte a component. Blocks of queries scan the
 cells: they give an upper and a lower bound of every product, and a vector stays a candidate of a
-query only while its upper bound reaches the k-th best lower bound, first within a page, then over
-all pages. Exact vectors are then read in the order of their bounds: the k most promising first;
+query only while its upper bound reaches the k-th best lower bound, first within the pages of a group, then
+over all pages. Exact vectors are then read in the order of their bounds: the k most promising first;
 their k-th product is the limit that the rest must reach to be read at all.
 
-Products are those of whole numbers floor(scale * x). Pages and blocks meet in a join on their
-numbers, so neither side is broadcast, and every task holds one page and one block.
+Products are those of whole numbers floor(scale * x). Groups of pages and of blocks meet by the numbers of
+their groups, so neither side is broadcast, a page is not moved for every block, and a task holds one group of each.
 
 Bounds are taken in floating point, widened by what rounding may lose, and scores in whole numbers of
 38 digits, so large components are as exact as small ones.
@@ -43,6 +43,8 @@ class Search:
     page: int = 4096
     block: int = 1024
     cells: int = 256
+    pages_together: int = 32
+    blocks_together: int = 8
 
 
 def whole_numbers(vectors: DataFrame, p: Search) -> DataFrame:
@@ -103,46 +105,104 @@ def _binary_row(schema: str, number: int, size: int, *parts: np.ndarray) -> pa.R
 BOUNDS = "query_id bigint, vec_id bigint, lower double, upper double"
 
 
-def bounds_of(page: dict, block: dict, k: int) -> pa.RecordBatch:
-    """Candidates of a block's queries in one page, with bounds of their products."""
-    size = page["size"]
-    ids, queries = np.frombuffer(page["ids"], np.int64), np.frombuffer(block["ids"], np.int64)
-    low, width = np.frombuffer(page["low"], np.int64), np.frombuffer(page["width"], np.int64)
-    cells = np.frombuffer(page["cells"], np.uint8).reshape(len(ids), size)
-    x = np.frombuffer(block["x"], np.int64).reshape(len(queries), size).astype(np.float64)
-    corners = (low + cells.astype(np.int64) * width).T.astype(np.float64)
-    spread = (width - 1).astype(np.float64)
-    base = x @ corners
-    below, above = np.minimum(x, 0) @ spread, np.maximum(x, 0) @ spread
-    # sums of whole numbers below 2**53 are exact; beyond, rounding loses a share of the sum of sizes
-    slack = 0.0
-    if size * np.abs(x).max(initial=0) * (np.abs(corners).max(initial=0) + spread.max(initial=0)) >= 2**52:
-        slack = size * 2.0**-50 * (np.abs(x) @ (np.abs(corners) + spread[:, None]))
-    lower, upper = base + below[:, None] - slack, base + above[:, None] + slack
-    own = queries[:, None] == ids[None]
-    lower[own], upper[own] = -np.inf, -np.inf
-    rank = min(k, len(ids))
-    limit = np.partition(lower, len(ids) - rank, axis=1)[:, len(ids) - rank]
-    q, v = np.nonzero((upper >= limit[:, None]) & ~own)
-    return pa.record_batch({"query_id": queries[q], "vec_id": ids[v], "lower": lower[q, v], "upper": upper[q, v]})
+class Held:
+    """A block's queries with the limits that the pages seen so far set: a query's k-th best lower bound."""
+
+    def __init__(self, block: dict, k: int):
+        self.size, self.k = block["size"], k
+        self.ids = np.frombuffer(block["ids"], np.int64)
+        self.x = np.frombuffer(block["x"], np.int64).reshape(len(self.ids), self.size).astype(np.float64)
+        self.narrow, self.most = self.x.astype(np.float32), np.abs(self.x).max(initial=0)
+        self.best = np.full((len(self.ids), k), -np.inf)
+        self.found: list[tuple[np.ndarray, ...]] = []
+
+    def read(self, page: dict) -> None:
+        """Find the candidates of the queries in a page, with bounds of their products."""
+        size, x = self.size, self.x
+        ids = np.frombuffer(page["ids"], np.int64)
+        low, width = np.frombuffer(page["low"], np.int64), np.frombuffer(page["width"], np.int64)
+        cells = np.frombuffer(page["cells"], np.uint8).reshape(len(ids), size)
+        corners = (low + cells.astype(np.int64) * width).T.astype(np.float64)
+        spread = (width - 1).astype(np.float64)
+        most = size * self.most * np.abs(corners).max(initial=0)
+        # sums of whole numbers are exact below 2**24 in 32 bits, below 2**53 in 64 bits
+        base = self.narrow @ corners.astype(np.float32) if max(most, np.abs(corners).max(initial=0)) < 2**24 else x @ corners
+        below, above = (np.minimum(x, 0) @ spread)[:, None], (np.maximum(x, 0) @ spread)[:, None]
+        slack = np.zeros((1, 1))
+        if most + size * self.most * spread.max(initial=0) >= 2**52:
+            # beyond, rounding loses a share of the sum of sizes
+            slack = size * 2.0**-50 * (np.abs(x) @ (np.abs(corners) + spread[:, None]))
+        # a product may reach the limit if its sum does, less what the cells' widths may add; own rows leave afterwards
+        limit = np.maximum(self.best[:, :1], self._limit(base, below - slack, ids))
+        q, v = np.nonzero(base >= limit - above - slack)
+        other = self.ids[q] != ids[v]
+        q, v = q[other], v[other]
+        sums, lost = base[q, v].astype(np.float64), np.broadcast_to(slack, base.shape)[q, v]
+        lower, upper = sums + below[q, 0] - lost, sums + above[q, 0] + lost
+        self._learn(q, lower)
+        self.found.append((q, ids[v], lower, upper))
+
+    def candidates(self) -> pa.Table:
+        """What is still a candidate when all pages have been read."""
+        none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+        q, ids, lower, upper = (np.concatenate(parts) for parts in zip(none, *self.found))
+        left = upper >= self.best[q, 0]
+        return pa.table({"query_id": self.ids[q[left]], "vec_id": ids[left], "lower": lower[left], "upper": upper[left]})
+
+    def _limit(self, base: np.ndarray, shift: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """The k-th best lower bound within a page, own rows apart; only queries that lack a limit are looked at."""
+        found = np.full((len(self.ids), 1), -np.inf)
+        lacking = np.flatnonzero(np.isneginf(self.best[:, 0]))
+        if len(lacking) and len(ids) >= self.k:
+            lower = base[lacking] + shift[lacking]
+            lower[self.ids[lacking][:, None] == ids[None]] = -np.inf
+            found[lacking, 0] = np.partition(lower, len(ids) - self.k, axis=1)[:, len(ids) - self.k]
+        return found
+
+    def _learn(self, q: np.ndarray, lower: np.ndarray) -> None:
+        """Take lower bounds of new candidates into the best k; the first column is the k-th best."""
+        order = np.lexsort((-lower, q))
+        q, lower = q[order], lower[order]
+        first = np.searchsorted(q, q)
+        place = np.arange(len(q)) - first
+        new = np.full((len(self.ids), self.k), -np.inf)
+        kept = place < self.k
+        new[q[kept], place[kept]] = lower[kept]
+        self.best = np.sort(np.concatenate([self.best, new], axis=1), axis=1)[:, -self.k :]
+
+
+NOTHING = Held({"size": 0, "ids": b"", "x": b""}, 1)
+# Groups of pages that a small table is split into, and tasks that groups are dealt to at most.
+LEAST_GROUPS, MOST_TASKS = 16, 20_000
 
 
 def candidates(pages: DataFrame, blocks: DataFrame, p: Search) -> DataFrame:
-    """Bounds of all vectors that may be among a query's k best within their page."""
+    """Bounds of all vectors that may be among a query's k best, by the pages of its group.
+
+    Pages and blocks meet in groups, so that a page moves once for ``blocks_together`` blocks and a block once for
+    ``pages_together`` pages (fewer if there are few). Within a group each page is held against the limits that the pages
+    before it have set.
+    """
     counts = pages.agg(F.count("*")).first()[0], blocks.agg(F.count("*")).first()[0]
-    groups, rows = max(1, counts[0]), max(1, counts[1])
-    dense = blocks.withColumn("b", F.pmod(F.xxhash64("block"), F.lit(rows)))
+    groups = max(1, -(-counts[0] // p.pages_together), min(counts[0], LEAST_GROUPS))
+    rows = max(1, -(-counts[1] // p.blocks_together))
     left = pages.withColumn("g", F.pmod(F.xxhash64("page"), F.lit(groups))).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)).cast("array<bigint>")))
-    right = dense.select("b", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")).alias("g"), F.col("size").alias("q_size"), F.col("ids").alias("q_ids"), "x")
-    met = left.join(right, ["g", "b"]).filter("size = q_size").select("size", "ids", "low", "width", "cells", "q_ids", "x")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                yield bounds_of(row, {"ids": row["q_ids"], "x": row["x"]}, p.k)
-
-    return met.mapInArrow(run, BOUNDS)
+    dealt = blocks.withColumn("b", F.pmod(F.xxhash64("block"), F.lit(rows)))
+    right = dealt.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")))
+
+    def run(of_group: pa.Table, against: pa.Table) -> pa.Table:
+        held = [Held(block, p.k) for block in against.select(["size", "ids", "x"]).to_pylist()]
+        for k in range(of_group.num_rows):
+            page = of_group.slice(k, 1).to_pylist()[0]
+            for queries in held:
+                if queries.size == page["size"]:
+                    queries.read(page)
+        return pa.concat_tables([queries.candidates() for queries in [*held, NOTHING]])
+
+    # as many tasks as the work asks for, which the few bytes moved don't tell
+    tasks = min(2 * groups * rows, MOST_TASKS)
+    left, right = (frame.repartition(tasks, "g", "b").groupBy("g", "b") for frame in (left, right))
+    return left.cogroup(right).applyInArrow(run, BOUNDS)
 
 
 def _exact(pairs: DataFrame, numbers: DataFrame, queries: DataFrame) -> DataFrame:
